@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every job this library re-expresses reads whole batch tables; there is no
+event time, watermark or state to keep.  The package exists so that the
+layout stays uniform; it intentionally exports nothing.
+"""
