@@ -37,8 +37,13 @@ def signatures(df: DataFrame, entity: str = "user_id", item: str = "item",
     (set semantics); ``n`` is the entity's row count (bag semantics, duplicates
     counted), computed in the same aggregate so the threshold filter needs no
     second pass over the interactions.
+
+    Long-form input: the map-side partial aggregate keeps a very active
+    entity parallel (one partial signature per input partition it touches).
+    When every entity's items come in one row, use ``signatures_of_rows``.
     """
     params = minhash_params(num_perm, seed)
+    _ensure_codegen_width(df.sparkSession, num_perm)
     hashed = df.select(F.col(entity).alias("id"), element_hash(F.col(item)).alias("h"))
     slots = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_PRIME)).alias(f"s{i}")
              for i, (a, b) in enumerate(params)]
@@ -47,6 +52,42 @@ def signatures(df: DataFrame, entity: str = "user_id", item: str = "item",
                        F.array(*[F.col(f"s{i}") for i in range(num_perm)]).alias("sig"))
 
 
+def _ensure_codegen_width(spark, num_perm: int) -> None:
+    # one aggregate with num_perm + 1 outputs: keep it inside whole-stage
+    # codegen (the default field limit of 100 would drop it to the
+    # interpreted path, ~1.5x slower)
+    limit = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
+    if limit < num_perm + 8:
+        spark.conf.set("spark.sql.codegen.maxFields", str(num_perm + 8))
+
+
+def signatures_of_rows(df: DataFrame, entity: str, items: str,
+                       num_perm: int = NUM_PERM, seed: int = SEED) -> DataFrame:
+    """(id, n, sig) for tables holding each entity's items in ONE row
+    (``items`` an array column, ``entity`` the table's key).
+
+    The whole item set of an entity then sits in one scan partition, so the
+    map-side partial aggregate already yields the complete signature and the
+    shuffle moves one signature per entity.  (Exploding to long form first
+    and de-duplicating (entity, item) would scatter an entity's items over
+    every partition and ship one partial signature per (entity, partition).)
+    ``n`` is the number of distinct items (the long-form row count).
+    """
+    params = minhash_params(num_perm, seed)
+    _ensure_codegen_width(df.sparkSession, num_perm)
+    # the set size is computed once per row, before the explode (a
+    # projection next to the generator would be evaluated per exploded item)
+    sized = (df.select(F.col(entity).alias("id"), F.array_distinct(F.col(items)).alias("_items"))
+             .select("id", "_items", F.size("_items").cast("bigint").alias("_n")))
+    base = sized.select("id", "_n", F.explode("_items").alias("_it"))
+    hashed = base.select("id", "_n", element_hash(F.col("_it")).alias("h"))
+    slots = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_PRIME)).alias(f"s{i}")
+             for i, (a, b) in enumerate(params)]
+    wide = hashed.groupBy("id").agg(F.max("_n").alias("n"), *slots)
+    return wide.select("id", "n",
+                       F.array(*[F.col(f"s{i}") for i in range(num_perm)]).alias("sig"))
+
+
 def signatures_long(sig: DataFrame) -> DataFrame:
     """(id, perm, h) - one row per slot."""
     return sig.select("id", F.posexplode("sig").alias("perm", "h")).select(

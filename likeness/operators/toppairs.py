@@ -84,6 +84,13 @@ def top_pairs(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOLDS,
     ``members`` (id, n, group_id); ``rep_pairs`` (id1, id2, estimated_jaccard)
     between representatives of distinct signatures.  Ties are broken by
     (id1, id2), so the result is a total order.
+
+    Bounded expansion: a group's lowest pair is (m1, m2), its two smallest
+    eligible ids; two groups' lowest pair is (least, greatest) of their
+    smallest ids.  Whenever k groups (or k representative pairs at the same
+    score) have a lower lowest pair than some pair p, p cannot be in the top
+    k - so only the k groups / k representative pairs with the lowest such
+    key per threshold are expanded, each over its k+1 (k) smallest ids.
     """
     elig, cross, hist = pair_histogram(members, rep_pairs, thresholds)
     # the cutoff table has one row per threshold: a fixed-size broadcast
@@ -91,20 +98,41 @@ def top_pairs(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOLDS,
 
     by_group = Window.partitionBy("min_ratings", "group_id").orderBy("id")
     ranked = elig.withColumn("rk", F.row_number().over(by_group)).where(F.col("rk") <= k + 1)
-
-    a = ranked.select("min_ratings", "group_id", F.col("id").alias("id1"))
-    b = ranked.select("min_ratings", "group_id", F.col("id").alias("id2"))
+    lowest = ranked.where(F.col("rk") <= 2).groupBy("min_ratings", "group_id").agg(
+        F.min(F.when(F.col("rk") == 1, F.col("id"))).alias("m1"),
+        F.min(F.when(F.col("rk") == 2, F.col("id"))).alias("m2"))
+
+    # groups of copies: all pairs score 1.0; the k groups with the lowest
+    # (m1, m2) hold the k lowest pairs
+    by_key = Window.partitionBy("min_ratings").orderBy("m1", "m2")
+    groups = (lowest.where(F.col("m2").isNotNull())
+              .withColumn("_g", F.row_number().over(by_key)).where(F.col("_g") <= k)
+              .select("min_ratings", "group_id"))
+    # at most k groups per threshold: a bounded broadcast
+    members_k = ranked.join(F.broadcast(groups), ["min_ratings", "group_id"])
+    a = members_k.select("min_ratings", "group_id", F.col("id").alias("id1"))
+    b = members_k.select("min_ratings", "group_id", F.col("id").alias("id2"))
     inside = (a.join(b, ["min_ratings", "group_id"]).where(F.col("id1") < F.col("id2"))
               .select("min_ratings", "id1", "id2", F.lit(1.0).alias("estimated_jaccard")))
 
+    # pairs of distinct signatures at or above the cutoff: fewer than k pairs
+    # lie above it; among those at it the k with the lowest key suffice
+    l1 = lowest.select("min_ratings", F.col("group_id").alias("id1"), F.col("m1").alias("a1"))
+    l2 = lowest.select("min_ratings", F.col("group_id").alias("id2"), F.col("m1").alias("b1"))
+    by_score = Window.partitionBy("min_ratings").orderBy(
+        F.desc("estimated_jaccard"), F.least("a1", "b1"), F.greatest("a1", "b1"))
+    wanted = (cross.join(cut, "min_ratings")
+              .where(F.col("estimated_jaccard") >= F.col("cutoff"))
+              .join(l1, ["min_ratings", "id1"]).join(l2, ["min_ratings", "id2"])
+              .withColumn("_p", F.row_number().over(by_score)).where(F.col("_p") <= k)
+              .select("min_ratings", "id1", "id2", "estimated_jaccard"))
     side1 = ranked.where(F.col("rk") <= k).select(
         "min_ratings", F.col("group_id").alias("id1"), F.col("id").alias("x"))
     side2 = ranked.where(F.col("rk") <= k).select(
         "min_ratings", F.col("group_id").alias("id2"), F.col("id").alias("y"))
-    wanted = (cross.join(cut, "min_ratings")
-              .where(F.col("estimated_jaccard") >= F.col("cutoff"))
-              .select("min_ratings", "id1", "id2", "estimated_jaccard"))
-    across = (wanted.join(side1, ["min_ratings", "id1"]).join(side2, ["min_ratings", "id2"])
+    # at most k representative pairs per threshold, then k x k ids each
+    across = (F.broadcast(wanted).join(side1, ["min_ratings", "id1"])
+              .join(side2, ["min_ratings", "id2"])
               .select("min_ratings", F.least("x", "y").alias("id1"),
                       F.greatest("x", "y").alias("id2"), "estimated_jaccard"))
 
@@ -116,6 +144,7 @@ def top_pairs(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOLDS,
            .where(F.col("rank") <= k))
     n1 = members.select(F.col("id").alias("id1"), F.col("n").alias("n1"))
     n2 = members.select(F.col("id").alias("id2"), F.col("n").alias("n2"))
-    return (top.join(n1, "id1").join(n2, "id2")
+    # the report holds at most k rows per threshold
+    return (F.broadcast(top).join(n1, "id1").join(n2, "id2")
             .select("min_ratings", F.col("rank").cast("bigint").alias("rank"), "id1", "id2",
                     F.round("estimated_jaccard", 6).alias("estimated_jaccard"), "n1", "n2"))

@@ -6,49 +6,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from likeness.operators import minhash, toppairs
+from likeness.session import materialize
 from likeness.sources import tables
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.doc_terms(spark, sf_dir)
+def doc_signatures(spark, sf_dir):
+    """Signatures of the documents x words fixture, one per document row."""
+    return minhash.signatures_of_rows(tables.document_words(spark, sf_dir), "user_id", "words")
 
 
-def signature_index(interactions: DataFrame, entity: str = "user_id", item: str = "item",
-                    min_count: int | None = None):
+def signature_index(sig: DataFrame, min_count: int | None = None):
     """signatures -> exact-copy groups -> scored representative pairs.
 
-    ``min_count``: keep only entities with more rows; exact for every report
-    that requires both members to pass a threshold >= min_count.
+    ``sig`` (id, n, sig) from ``minhash.signatures`` or
+    ``minhash.signatures_of_rows``.  ``min_count``: keep only entities with
+    more rows; exact for every report that requires both members to pass a
+    threshold >= min_count.
     """
-    sig = minhash.signatures(interactions, entity, item)
     if min_count is not None:
         sig = sig.where(F.col("n") > min_count)
-    # the signature table feeds four joins; write it once to the shared
-    # checkpoint folder so it is neither recomputed nor lost with an executor
-    sig = sig.checkpoint(eager=True)
+    # the signature table and the groups feed several joins each: write them
+    # once to the shared checkpoint folder (no recomputation, no lineage)
+    sig = materialize(sig, "signatures")
     members, reps = minhash.signature_groups(sig)
+    members = materialize(members, "signature_members")
+    reps = materialize(reps, "signature_reps")
     cand = minhash.lsh_candidates(reps)
     scored = minhash.score_pairs(cand, reps)
     return sig, members, reps, scored
 
 
 def q_minhash_signatures(spark, sf_dir):
-    sig = minhash.signatures(_docs(spark, sf_dir))
-    return minhash.signatures_long(sig)
+    return minhash.signatures_long(doc_signatures(spark, sf_dir))
 
 
 def q_signature_groups(spark, sf_dir):
-    _, members, _, _ = signature_index(_docs(spark, sf_dir))
+    _, members, _, _ = signature_index(doc_signatures(spark, sf_dir))
     return members.select("id", "group_id", "group_size")
 
 
 def q_lsh_candidates(spark, sf_dir):
-    _, _, reps, _ = signature_index(_docs(spark, sf_dir))
+    _, _, reps, _ = signature_index(doc_signatures(spark, sf_dir))
     return minhash.lsh_candidates(reps)
 
 
 def q_similar_pairs(spark, sf_dir):
-    _, members, _, scored = signature_index(_docs(spark, sf_dir))
+    _, members, _, scored = signature_index(doc_signatures(spark, sf_dir))
     n1 = members.select(F.col("id").alias("id1"), F.col("n").alias("n1"))
     n2 = members.select(F.col("id").alias("id2"), F.col("n").alias("n2"))
     return scored.join(n1, "id1").join(n2, "id2").select(
@@ -56,14 +59,15 @@ def q_similar_pairs(spark, sf_dir):
 
 
 def q_pairs_per_threshold(spark, sf_dir):
-    _, members, _, scored = signature_index(_docs(spark, sf_dir),
+    _, members, _, scored = signature_index(doc_signatures(spark, sf_dir),
                                             min_count=min(toppairs.THRESHOLDS))
     _, _, hist = toppairs.pair_histogram(members, scored)
     return toppairs.pairs_per_threshold(hist)
 
 
 def top_pairs_docs(spark, sf_dir, thresholds=toppairs.THRESHOLDS, k=toppairs.TOP_K):
-    _, members, _, scored = signature_index(_docs(spark, sf_dir), min_count=min(thresholds))
+    _, members, _, scored = signature_index(doc_signatures(spark, sf_dir),
+                                            min_count=min(thresholds))
     return toppairs.top_pairs(members, scored, thresholds, k)
 
 

@@ -51,3 +51,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    Cuts the lineage (an executor lost later re-reads files instead of
+    recomputing the plan), runs the plan exactly once (an eager RDD
+    checkpoint of an uncached plan computes it twice), and gives AQE exact
+    sizes for the joins that follow.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def input_parallelism(df):
+    """Repartition a scan that yields fewer partitions than the cluster has
+    cores (a single unsplittable file); a no-op for real multi-file inputs,
+    which already scan in parallel."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -18,6 +18,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from likeness.session import input_parallelism
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters."""
@@ -65,6 +67,16 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, words ARRAY<STRING>): one row per document, the whole text
+    split on single spaces.  ``doc_id`` is the table's key."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where(
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    docs = input_parallelism(docs)
+    return docs.select(F.col("doc_id").cast("bigint").alias("user_id"),
+                       F.split(F.col("text"), " ").alias("words"))
+
+
 def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as interactions: (doc, word, term count).
 
@@ -75,6 +87,7 @@ def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    docs = input_parallelism(docs)
     words = docs.select(F.col("doc_id").cast("bigint").alias("user_id"),
                         F.explode(F.split(F.col("text"), " ")).alias("item"))
     return words.groupBy("user_id", "item").agg(
