@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from likeness.operators import pairs, sampling, sets
 from likeness.plans.similarity import top_pairs_docs
-from likeness.session import scratch_path
+from likeness.session import materialize, scratch_path
 from likeness.sources import files, tables
 
 # The pair file the source project re-checks is the top-100 of
@@ -16,8 +16,10 @@ CHECKED_THRESHOLD = 50
 
 
 def checked_pairs(spark, sf_dir):
+    """The re-checked pair list (<= 100 rows), written once: every check
+    below references it several times."""
     top = top_pairs_docs(spark, sf_dir, thresholds=(CHECKED_THRESHOLD,))
-    return top.select("id1", "id2")
+    return materialize(top.select("id1", "id2"), "checked_pairs")
 
 
 def q_grouped_items(spark, sf_dir):
@@ -46,7 +48,7 @@ def q_pair_common_ratings(spark, sf_dir):
 
 def _pair_corr(spark, sf_dir):
     docs = tables.doc_terms(spark, sf_dir)
-    p = checked_pairs(spark, sf_dir).cache()
+    p = checked_pairs(spark, sf_dir)
     return pairs.correlation(pairs.common_ratings(docs, p), p)
 
 
@@ -75,7 +77,7 @@ def q_random_pairs(spark, sf_dir):
 
 def q_random_pair_baseline(spark, sf_dir):
     docs, rp = _random_pairs(spark, sf_dir)
-    rp = rp.cache()
+    rp = materialize(rp, "random_pairs")
     keys = ["trial", "id1", "id2"]
     corr = pairs.correlation(pairs.common_ratings(docs, rp, keys=keys), rp, keys=keys)
     per_trial = pairs.mean_correlation(corr, by=["trial"])
