@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from likeness.functions.hashing import (
+from likeness.functions.hashing import (  # noqa: F401  (re-exported parameters)
     MERSENNE_PRIME,
     NUM_BANDS,
     NUM_PERM,

@@ -5,11 +5,14 @@ item) and cut positionally: the first ``n*8 div 10`` rows train, up to
 ``n*9 div 10`` validate, the rest test.  Entities with fewer than 5 rows are
 dropped.
 
-A window partitioned by entity would sort a very active entity in one task.
-The rank is therefore computed in two bounded steps: the md5 key's first 16
-bits pick one of 65,536 buckets; counts per (entity, bucket) give each
-bucket's offset, and a window over (entity, bucket) numbers the rows inside.
-Buckets follow the key order, so offset + local row number is the exact rank.
+A window partitioned by entity sorts each entity in one task.  That is the
+cheapest plan while every entity is small, so one partial aggregate first
+finds the largest entity.  Only when some entity exceeds ``HEAVY_ROWS``
+(more than one task should sort) the rank is computed in two bounded steps:
+the md5 key's first 16 bits pick one of 65,536 buckets; counts per (entity,
+bucket) give each bucket's offset, and a window over (entity, bucket)
+numbers the rows inside.  Buckets follow the key order, so offset + local
+row number is the exact rank.
 """
 
 from __future__ import annotations
@@ -24,15 +27,34 @@ MIN_ITEMS = 5
 TRAIN_TENTHS = 8
 VAL_TENTHS = 9
 BUCKET_HEX_DIGITS = 4
+HEAVY_ROWS = 5_000_000
 
 
 def shuffle_key(entity: Column, item: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), entity.cast("string"), item.cast("string")))
 
 
-def ranked_within(df: DataFrame, entity: str, key: Column, tiebreak: str) -> DataFrame:
+def ranked_within(df: DataFrame, entity: str, key: Column, tiebreak: str,
+                  heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
     """Adds ``rn`` (1-based rank of the row inside its entity by (key,
-    tiebreak)) and ``n`` (rows of the entity), without a per-entity sort."""
+    tiebreak)) and ``n`` (rows of the entity).
+
+    ``heavy_rows``: largest entity one task may sort; ``None`` always uses
+    the per-entity window, 0 always the bucketed plan.
+    """
+    if heavy_rows is None or (heavy_rows > 0 and _largest(df, entity) <= heavy_rows):
+        w = Window.partitionBy(entity).orderBy(key, tiebreak)
+        return (df.withColumn("rn", F.row_number().over(w))
+                .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(entity))))
+    return _ranked_bucketed(df, entity, key, tiebreak)
+
+
+def _largest(df: DataFrame, entity: str) -> int:
+    biggest = df.groupBy(entity).count().agg(F.max("count")).first()[0]
+    return int(biggest or 0)
+
+
+def _ranked_bucketed(df: DataFrame, entity: str, key: Column, tiebreak: str) -> DataFrame:
     rows = (df.withColumn("_key", key)
             .withColumn("_bucket", F.conv(F.substring("_key", 1, BUCKET_HEX_DIGITS), 16, 10)
                         .cast("int")))
@@ -51,9 +73,11 @@ def ranked_within(df: DataFrame, entity: str, key: Column, tiebreak: str) -> Dat
 
 
 def assign_split(df: DataFrame, entity: str = "user_id", item: str = "item_id",
-                 seed: int = SEED, min_items: int = MIN_ITEMS) -> DataFrame:
+                 seed: int = SEED, min_items: int = MIN_ITEMS,
+                 heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
     """df + ``split`` ('train' | 'val' | 'test'); other columns are carried."""
-    ranked = ranked_within(df, entity, shuffle_key(F.col(entity), F.col(item), seed), item)
+    ranked = ranked_within(df, entity, shuffle_key(F.col(entity), F.col(item), seed), item,
+                           heavy_rows)
     split = (F.when(F.col("rn") <= F.expr(f"n * {TRAIN_TENTHS} div 10"), F.lit("train"))
              .when(F.col("rn") <= F.expr(f"n * {VAL_TENTHS} div 10"), F.lit("val"))
              .otherwise(F.lit("test")))

@@ -77,3 +77,16 @@ def input_parallelism(df):
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def input_fingerprint(spark: SparkSession, path: str) -> tuple:
+    """(path, [(file, length, modification time)...]) through the Hadoop
+    FileSystem API, so it works for local and cluster file systems alike."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    files = []
+    for st in fs.listStatus(p):
+        files.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
+    return (path, tuple(sorted(files)))
