@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from likeness.operators import als, popularity, ranking, split
+from likeness.session import written
 from likeness.sources import tables
 
 # The betas shown by the top-k query and the list of the
@@ -13,12 +16,22 @@ SHOWN_BETAS = (250, 500)
 LIST_BETA = 250
 
 
+def _paths(sf_dir, *names):
+    return [os.path.join(sf_dir, f"{n}.parquet") for n in names]
+
+
 def _split(spark, sf_dir):
-    return split.assign_split(tables.ratings(spark, sf_dir), "user_id", "item_id")
+    """The ratings split (train / val / test), written once: the popularity,
+    metric and ALS reports all read it."""
+    return written(spark, "ratings_split", _paths(sf_dir, "lineitem", "orders"),
+                   (split.MIN_ITEMS, split.TRAIN_TENTHS, split.VAL_TENTHS),
+                   lambda: split.assign_split(tables.ratings(spark, sf_dir), "user_id", "item_id"))
 
 
 def _doc_split(spark, sf_dir):
-    return split.assign_split(tables.doc_terms(spark, sf_dir), "user_id", "item")
+    return written(spark, "doc_split", _paths(sf_dir, "documents"),
+                   (split.MIN_ITEMS, split.TRAIN_TENTHS, split.VAL_TENTHS),
+                   lambda: split.assign_split(tables.doc_terms(spark, sf_dir), "user_id", "item"))
 
 
 def q_split_assignment(spark, sf_dir):
@@ -34,7 +47,9 @@ def q_enriched_split(spark, sf_dir):
 
 
 def _tagged(spark, sf_dir):
-    return split.with_tags(_split(spark, sf_dir), tables.tags(spark, sf_dir))
+    return written(spark, "tagged_split", _paths(sf_dir, "lineitem", "orders"),
+                   (split.MIN_ITEMS, split.TRAIN_TENTHS, split.VAL_TENTHS),
+                   lambda: split.with_tags(_split(spark, sf_dir), tables.tags(spark, sf_dir)))
 
 
 def q_tagged_split(spark, sf_dir):
@@ -63,8 +78,6 @@ def q_popularity_topk(spark, sf_dir):
 
 def _sweep(spark, sf_dir):
     s, stats = _stats(spark, sf_dir)
-    s = s.cache()
-    stats = popularity.item_stats(s.where(F.col("split") == "train")).cache()
     return s, stats, popularity.sweep(stats, _truth(s, ["val"]).drop("split"))
 
 
@@ -107,7 +120,7 @@ def q_ndcg_mean(spark, sf_dir):
 
 
 def _doc_parts(spark, sf_dir):
-    ds = _doc_split(spark, sf_dir).cache()
+    ds = _doc_split(spark, sf_dir)
     return ds.where(F.col("split") == "train"), ds.where(F.col("split") != "train")
 
 
@@ -128,13 +141,19 @@ def q_train_with_backfill(spark, sf_dir):
 
 
 def als_train(spark, sf_dir):
-    """Tagged ratings train split + backfill, cast for ALS."""
-    t = _tagged(spark, sf_dir).cache()
-    train = t.where(F.col("split") == "train")
-    held = t.where(F.col("split") != "train")
-    full = als.train_with_backfill(train, als.backfill(train, held, "user_id", "item_id", "rating"),
-                                   "user_id", "item_id", "rating")
-    return t, als.als_input(full, "user_id", "item_id", "rating", "tagged")
+    """Tagged ratings train split + backfill, cast for ALS (written once)."""
+    t = _tagged(spark, sf_dir)
+
+    def build():
+        train = t.where(F.col("split") == "train")
+        held = t.where(F.col("split") != "train")
+        full = als.train_with_backfill(
+            train, als.backfill(train, held, "user_id", "item_id", "rating"),
+            "user_id", "item_id", "rating")
+        return als.als_input(full, "user_id", "item_id", "rating", "tagged")
+
+    return t, written(spark, "als_train", _paths(sf_dir, "lineitem", "orders"),
+                      (split.MIN_ITEMS,), build)
 
 
 def q_als_input(spark, sf_dir):
@@ -153,7 +172,6 @@ def q_implicit_confidence_avg(spark, sf_dir):
 
 def _als_recs(spark, sf_dir, cfg):
     t, train = als_train(spark, sf_dir)
-    train = train.cache()
     model = als.fit(train, cfg)
     users = (t.where(F.col("split") != "train")
              .select(F.col("user_id").cast("int").alias("user")).distinct())
@@ -175,9 +193,8 @@ def als_grid(spark, sf_dir, configs=DEFAULT_GRID):
     """One result row per configuration; one fit per configuration is
     inherent, the metric work for each fit is distributed."""
     t, train = als_train(spark, sf_dir)
-    train = train.cache()
     truth = (t.where(F.col("split") != "train")
-             .select("split", "user_id", F.col("item_id").alias("item")).cache())
+             .select("split", "user_id", F.col("item_id").alias("item")))
     users = truth.select(F.col("user_id").cast("int").alias("user")).distinct()
     rows = []
     for cfg in configs:

@@ -90,3 +90,21 @@ def input_fingerprint(spark: SparkSession, path: str) -> tuple:
     for st in fs.listStatus(p):
         files.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
     return (path, tuple(sorted(files)))
+
+
+_WRITTEN: dict = {}
+
+
+def written(spark: SparkSession, name: str, inputs: list[str], params: tuple, build):
+    """A derived table written once per (application, inputs, parameters).
+
+    ``inputs`` are the source paths whose files key the table (so changed
+    inputs are recomputed); ``build()`` returns the DataFrame to write.  Later
+    queries over the same inputs read the written table - the hand-off of
+    intermediate files between jobs, without recomputation.
+    """
+    key = (spark.sparkContext.applicationId, name,
+           tuple(input_fingerprint(spark, p) for p in inputs), params)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = materialize(build(), name)
+    return _WRITTEN[key]
