@@ -15,6 +15,8 @@ Plan shape (A3 -> J7 -> F2):
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,32 +64,80 @@ def _ensure_codegen_width(spark, num_perm: int) -> None:
 
 
 def signatures_of_rows(df: DataFrame, entity: str, items: str,
-                       num_perm: int = NUM_PERM, seed: int = SEED) -> DataFrame:
+                       num_perm: int = NUM_PERM, seed: int = SEED,
+                       vectorized: bool = True) -> DataFrame:
     """(id, n, sig) for tables holding each entity's items in ONE row
     (``items`` an array column, ``entity`` the table's key).
 
-    The whole item set of an entity then sits in one scan partition, so the
-    map-side partial aggregate already yields the complete signature and the
-    shuffle moves one signature per entity.  (Exploding to long form first
-    and de-duplicating (entity, item) would scatter an entity's items over
-    every partition and ship one partial signature per (entity, partition).)
-    ``n`` is the number of distinct items (the long-form row count).
+    The whole item set of an entity sits in one row, so no aggregate is
+    needed: the element hashes are computed JVM-side, then an Arrow-batched
+    pandas UDF evaluates the num_perm permutations with numpy - a map-only
+    stage, no shuffle.  ``vectorized=False`` keeps everything in the JVM (an
+    aggregate whose map side already holds each complete signature).
+    ``n`` is the number of distinct items (the long-form row count); rows
+    without items produce no signature, as in the long form.
     """
+    hashed = (df.select(F.col(entity).alias("id"),
+                        F.transform(F.array_distinct(F.col(items)),
+                                    lambda x: element_hash(x)).alias("_hs"))
+              .where(F.size("_hs") > 0))
+    if vectorized:
+        udf = _slots_udf(num_perm, seed)
+        return hashed.select("id", F.size("_hs").cast("bigint").alias("n"),
+                             udf("_hs").alias("sig"))
     params = minhash_params(num_perm, seed)
     _ensure_codegen_width(df.sparkSession, num_perm)
     # the set size is computed once per row, before the explode (a
     # projection next to the generator would be evaluated per exploded item)
-    sized = (df.select(F.col(entity).alias("id"), F.array_distinct(F.col(items)).alias("_items"))
-             .select("id", "_items", F.size("_items").cast("bigint").alias("_n")))
-    base = sized.select("id", "_n", F.explode("_items").alias("_it"))
-    hashed = base.select("id", "_n", element_hash(F.col("_it")).alias("h"))
+    base = hashed.select("id", F.size("_hs").cast("bigint").alias("_n"),
+                         F.explode("_hs").alias("h"))
     slots = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_PRIME)).alias(f"s{i}")
              for i, (a, b) in enumerate(params)]
-    wide = hashed.groupBy("id").agg(F.max("_n").alias("n"), *slots)
+    wide = base.groupBy("id").agg(F.max("_n").alias("n"), *slots)
     return wide.select("id", "n",
                        F.array(*[F.col(f"s{i}") for i in range(num_perm)]).alias("sig"))
 
 
+# elements per numpy block: CHUNK x num_perm int64 values in memory at once
+CHUNK = 1 << 14
+
+
+def _slots_udf(num_perm: int, seed: int):
+    params = minhash_params(num_perm, seed)
+    a = np.array([p[0] for p in params], dtype=np.int64)
+    b = np.array([p[1] for p in params], dtype=np.int64)
+
+    def block_mins(flat, starts):
+        m = (flat[:, None] * a[None, :] + b[None, :]) % MERSENNE_PRIME
+        return np.minimum.reduceat(m, starts, axis=0)
+
+    @F.pandas_udf("array<bigint>")
+    def slots(hs: pd.Series) -> pd.Series:
+        rows = [np.asarray(x, dtype=np.int64) for x in hs]
+        out = []
+        i = 0
+        while i < len(rows):
+            if len(rows[i]) > CHUNK:  # one long row: fold its slices
+                acc = None
+                for s in range(0, len(rows[i]), CHUNK):
+                    part = block_mins(rows[i][s:s + CHUNK], np.array([0]))[0]
+                    acc = part if acc is None else np.minimum(acc, part)
+                out.append(acc)
+                i += 1
+                continue
+            j, total = i, 0
+            while j < len(rows) and len(rows[j]) <= CHUNK and total + len(rows[j]) <= CHUNK:
+                total += len(rows[j])
+                j += 1
+            lens = np.array([len(r) for r in rows[i:j]])
+            starts = np.concatenate(([0], np.cumsum(lens)[:-1]))
+            out.extend(block_mins(np.concatenate(rows[i:j]), starts))
+            i = j
+        return pd.Series(out)
+
+    return slots
+
+
 def signatures_long(sig: DataFrame) -> DataFrame:
     """(id, perm, h) - one row per slot."""
     return sig.select("id", F.posexplode("sig").alias("perm", "h")).select(

@@ -36,8 +36,21 @@ def test_row_and_long_signatures_agree(spark):
     rows_long = [(e, it) for e, items in sets.items() for it in set(items)]
     long = minhash.signatures(spark.createDataFrame(rows_long, "user_id long, item string"))
     rows = spark.createDataFrame(list(sets.items()), "user_id long, words array<string>")
-    by_rows = minhash.signatures_of_rows(rows, "user_id", "words")
-    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, by_rows.collect()))
+    want = sorted(map(tuple, long.collect()))
+    for vec in (True, False):
+        by_rows = minhash.signatures_of_rows(rows, "user_id", "words", vectorized=vec)
+        assert sorted(map(tuple, by_rows.collect())) == want
+
+
+def test_long_row_is_folded(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CHUNK", 7)
+    rows = spark.createDataFrame([(1, [str(i) for i in range(30)]), (2, ["a", "b"]),
+                                  (3, [str(i) for i in range(5)])],
+                                 "user_id long, words array<string>")
+    a = sorted(map(tuple, minhash.signatures_of_rows(rows, "user_id", "words").collect()))
+    b = sorted(map(tuple, minhash.signatures_of_rows(rows, "user_id", "words",
+                                                     vectorized=False).collect()))
+    assert a == b
 
 
 def test_duplicates_count_as_rows_not_set(spark):
