@@ -6,9 +6,9 @@ per beta; ties broken by item id.
 
 Sweep plan:
 * Pruning - with non-negative sums the score falls with beta, so at every
-  beta in [lo, hi] at least K items score >= theta, the K-th best score at
-  hi.  An item whose best score (at lo) is below theta can never enter a
-  list: only the survivors are expanded over the betas.
+  beta in a run [lo, hi] at least K items score >= theta, the K-th best
+  score at hi.  An item whose best score in the run (at lo) is below theta
+  can never enter a list there: only the survivors are expanded.
 * Lists that are equal for neighbouring betas are evaluated once: each list
   is keyed by a digest of its ordered items.
 """
@@ -36,19 +36,41 @@ def _score(beta) -> F.Column:
     return F.col("rating_sum") / (F.col("rating_count") + beta)
 
 
-def _candidates(stats: DataFrame, lo: int, hi: int, k: int) -> DataFrame:
-    theta = (stats.select(_score(F.lit(hi)).alias("s")).orderBy(F.desc("s")).limit(k)
-             .agg(F.min("s")).scalar())
-    keep = (_score(F.lit(lo)) >= theta) | (F.col("rating_sum") < 0) | theta.isNull()
-    return stats.where(keep)
+SEGMENTS = 16
 
 
-def topk_lists(stats: DataFrame, betas, k: int = TOP_K) -> DataFrame:
-    """(beta, rank, item_id, score) for each beta in ``betas``."""
+def topk_lists(stats: DataFrame, betas, k: int = TOP_K, segments: int = SEGMENTS) -> DataFrame:
+    """(beta, rank, item_id, score) for each beta in ``betas``.
+
+    The betas are cut into at most ``segments`` runs [l, h].  With
+    non-negative sums the score falls with beta, so for every beta in a run
+    at least k items score >= theta_h, the k-th best score at h; an item
+    whose score at l is below theta_h cannot enter any list of that run.  Only
+    the survivors are expanded over the run's betas: the work is
+    items x segments plus survivors x betas, not items x betas.
+    """
+    spark = stats.sparkSession
     betas = sorted({int(b) for b in betas})
-    cand = _candidates(stats, betas[0], betas[-1], k)
+    size = -(-len(betas) // max(1, min(segments, len(betas))))
+    runs = [betas[i:i + size] for i in range(0, len(betas), size)]
+    run_rows = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(c[0]).alias("lo"),
+                                  F.lit(c[-1]).alias("hi")) for r, c in enumerate(runs)])
+    per_run = stats.select("item_id", "rating_sum", "rating_count",
+                           F.explode(run_rows).alias("r")).select(
+        "item_id", "rating_sum", "rating_count", "r.run", "r.lo", "r.hi")
+    at_hi = Window.partitionBy("run").orderBy(F.desc("_s"), F.asc("item_id"))
+    theta = (per_run.withColumn("_s", _score(F.col("hi")))
+             .withColumn("_rk", F.row_number().over(at_hi)).where(F.col("_rk") <= k)
+             .groupBy("run").agg(F.min("_s").alias("theta"), F.count(F.lit(1)).alias("_n")))
+    # a run whose table has fewer than k items keeps every item
+    theta = theta.select("run", F.when(F.col("_n") >= k, F.col("theta")).alias("theta"))
+    keep = ((_score(F.col("lo")) >= F.col("theta")) | F.col("theta").isNull()
+            | (F.col("rating_sum") < 0))
+    # one row per run: a broadcast bounded by ``segments``
+    cand = per_run.join(F.broadcast(theta), "run", "left").where(keep)
+    run_betas = F.array(*[F.array(*[F.lit(b) for b in c]) for c in runs])
     per_beta = cand.select("item_id", "rating_sum", "rating_count",
-                           F.explode(F.array(*[F.lit(b) for b in betas])).alias("beta"))
+                           F.explode(F.element_at(run_betas, F.col("run") + 1)).alias("beta"))
     w = Window.partitionBy("beta").orderBy(F.desc("score"), F.asc("item_id"))
     return (per_beta.withColumn("score", _score(F.col("beta")))
             .withColumn("rank", F.row_number().over(w))
