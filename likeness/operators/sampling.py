@@ -7,8 +7,10 @@ Draw j of trial t over n eligible entities indexed 0..n-1 in id order::
     pair = (least(id[i1], id[i2]), greatest(...))
 
 The first draw of a pair counts and the ``k`` lowest draws of each trial are
-kept.  Every trial makes ``draws`` draws; with the default 20k draws the
-chance of finding fewer than min(k, n(n-1)/2) distinct pairs is below 1e-7.
+kept.  Every trial makes 20*k draws.  When few pairs exist (n(n-1)/2 <= 10*k)
+draws could miss some, so all pairs are enumerated instead and ordered by
+``h('seed:t:i:j:e')`` (ties by index); the first k (or all) are kept, with
+``draw`` their position.
 All trials are one job: the draw table grows with trials x draws only, is
 broadcast, and meets the entity index in an equi-join on the index.
 """
@@ -68,6 +70,8 @@ def random_pairs(eligible_ids: DataFrame, trials: int = TRIALS, k: int = PAIRS_P
     schema = "trial bigint, draw bigint, id1 bigint, id2 bigint"
     if n < 2:
         return spark.createDataFrame([], schema)
+    if n * (n - 1) // 2 <= 10 * k:
+        return _all_pairs(spark, index, n, trials, k, seed)
     d = F.broadcast(draws(spark, n, trials, per_trial or 20 * k, seed))
     a = index.select(F.col("idx").alias("i1"), F.col("id").alias("u1"))
     b = index.select(F.col("idx").alias("i2"), F.col("id").alias("u2"))
@@ -78,3 +82,21 @@ def random_pairs(eligible_ids: DataFrame, trials: int = TRIALS, k: int = PAIRS_P
     w = Window.partitionBy("trial").orderBy("draw")
     return (first.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
             .select("trial", "draw", "id1", "id2"))
+
+
+def _all_pairs(spark, index: DataFrame, n: int, trials: int, k: int, seed: int) -> DataFrame:
+    """Every index pair (i < j) of every trial, seeded order; n <= ~10*sqrt(2k),
+    so the table has at most trials x n^2 rows (a bounded broadcast)."""
+    r = spark.range(0, trials * n * n)
+    grid = (r.select((F.col("id") / (n * n)).cast("bigint").alias("trial"),
+                     ((F.col("id") % (n * n)) / n).cast("bigint").alias("i1"),
+                     (F.col("id") % n).alias("i2"))
+            .where(F.col("i1") < F.col("i2"))
+            .withColumn("_o", seeded_hash(F.lit(seed), F.col("trial"), F.col("i1"), F.col("i2"),
+                                          F.lit("e"))))
+    w = Window.partitionBy("trial").orderBy("_o", "i1", "i2")
+    chosen = (grid.withColumn("draw", F.row_number().over(w) - 1).where(F.col("draw") < k))
+    a = index.select(F.col("idx").alias("i1"), F.col("id").alias("id1"))
+    b = index.select(F.col("idx").alias("i2"), F.col("id").alias("id2"))
+    return (F.broadcast(chosen).join(a, "i1").join(b, "i2")
+            .select("trial", F.col("draw").cast("bigint").alias("draw"), "id1", "id2"))

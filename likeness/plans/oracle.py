@@ -180,8 +180,20 @@ rp_all AS (
   SELECT trial, min(draw) AS draw, least(a.id, b.id) AS id1, greatest(a.id, b.id) AS id2
   FROM dr2 JOIN elig a ON a.idx = dr2.i1 JOIN elig b ON b.idx = dr2.i2
   GROUP BY trial, least(a.id, b.id), greatest(a.id, b.id)),
-rp AS (SELECT trial, draw, id1, id2 FROM rp_all
-  QUALIFY row_number() OVER (PARTITION BY trial ORDER BY draw) <= {k})"""
+rp_drawn AS (SELECT trial, draw, id1, id2 FROM rp_all
+  QUALIFY row_number() OVER (PARTITION BY trial ORDER BY draw) <= {k}),
+rp_enum AS (
+  SELECT t.r AS trial,
+         row_number() OVER (PARTITION BY t.r ORDER BY
+           {hh("'42:' || CAST(t.r AS VARCHAR) || ':' || CAST(a.idx AS VARCHAR) || ':' || CAST(b.idx AS VARCHAR) || ':e'")},
+           a.idx, b.idx) - 1 AS draw,
+         a.id AS id1, b.id AS id2
+  FROM range({trials}) t(r), elig a, elig b WHERE a.idx < b.idx
+  QUALIFY draw < {k}),
+rp AS (
+  SELECT * FROM rp_drawn WHERE (SELECT n * (n - 1) // 2 FROM nn) > {10 * k}
+  UNION ALL
+  SELECT * FROM rp_enum WHERE (SELECT n * (n - 1) // 2 FROM nn) <= {10 * k})"""
 
 
 def build() -> dict[str, str]:

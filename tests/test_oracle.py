@@ -45,3 +45,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["min_ratings", "rank", "id1", "id2", "estimated_jaccard", "n1", "n2"]
     assert df.count() >= 0
+
+
+def test_random_pairs_small_population_matches_oracle(spark, tmp_path):
+    import pandas as pd
+
+    pd.DataFrame({"doc_id": list(range(1, 16)),
+                  "text": [f"w{i} x y" for i in range(15)],
+                  "lang": ["en"] * 15, "source": ["s"] * 15, "n_chars": [5] * 15}).to_parquet(
+        tmp_path / "documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet')")
+    for name in ("random_pairs", "random_pair_baseline"):
+        df = QUERIES[name](spark, str(tmp_path))
+        res = c.execute(SQL[name])
+        ocols = [d[0] for d in res.description]
+        orows = res.fetchall()
+        rows = [tuple(r) for r in df.collect()]
+        assert len(rows) == len(orows) and len(rows) > 0
+        assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]

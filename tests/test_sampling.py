@@ -33,3 +33,15 @@ def test_pairs_distinct_ordered_and_seeded(spark):
 def test_single_entity_gives_no_pairs(spark):
     ids = spark.createDataFrame([(1,)], "id long")
     assert sampling.random_pairs(ids).count() == 0
+
+
+def test_small_population_enumerates_every_pair(spark):
+    ids = spark.createDataFrame([(x,) for x in range(10, 25)], "id long")  # 105 pairs
+    out = sampling.random_pairs(ids, trials=2, k=100)
+    for t in (0, 1):
+        rows = out.where(F.col("trial") == t).collect()
+        assert len(rows) == 100
+        assert sorted(r["draw"] for r in rows) == list(range(100))
+        assert len({(r["id1"], r["id2"]) for r in rows}) == 100
+    full = sampling.random_pairs(ids, trials=1, k=200)
+    assert full.count() == 105
