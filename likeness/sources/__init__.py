@@ -7,4 +7,11 @@ from likeness.sources.tables import (  # noqa: F401
     read_table,
     tags,
 )
-from likeness.sources.files import read_pairs_csv, write_csv  # noqa: F401
+from likeness.sources.files import (  # noqa: F401
+    read_pairs_csv,
+    read_split,
+    result_path,
+    write_csv,
+    write_split,
+    write_top_pairs,
+)

@@ -47,3 +47,27 @@ def test_pair_csv_roundtrip(spark):
                   "user2_ratings": [8, 9]}).to_csv(path, index=False)
     got = sorted(map(tuple, files.read_pairs_csv(spark, path).collect()))
     assert got == [(5, 9, 0.5, 7, 9), (103191, 7, 1.0, 6, 8)]
+
+
+def test_split_sink_prunes_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, "train"), (1, 2, "val"), (2, 3, "test")],
+                               "user_id long, item_id long, split string")
+    path = str(tmp_path / "split")
+    files.write_split(df, path)
+    val = files.read_split(spark, path, "val")
+    assert [(r["user_id"], r["item_id"]) for r in val.collect()] == [(1, 2)]
+    plan = val._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_top_pairs_sink_one_folder_per_threshold(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(5, 1, 10, 11, 1.0, 6, 7), (5, 2, 10, 12, 0.9, 6, 8), (50, 1, 20, 21, 1.0, 60, 61)],
+        "min_ratings long, rank long, id1 long, id2 long, estimated_jaccard double, n1 long, n2 long")
+    path = str(tmp_path / "top")
+    files.write_top_pairs(df, path)
+    assert sorted(p for p in os.listdir(path) if p.startswith("min_ratings=")) == [
+        "min_ratings=5", "min_ratings=50"]
+    back = files.read_pairs_csv(spark, os.path.join(path, "min_ratings=5"))
+    assert sorted((r["id1"], r["id2"]) for r in back.collect()) == [(10, 11), (10, 12)]
+    assert files.result_path("/x", "als_result", rank=10, reg=0.1) == "/x/als_result_rank10_reg0.1"
