@@ -188,7 +188,8 @@ rp_enum AS (
            {hh("'42:' || CAST(t.r AS VARCHAR) || ':' || CAST(a.idx AS VARCHAR) || ':' || CAST(b.idx AS VARCHAR) || ':e'")},
            a.idx, b.idx) - 1 AS draw,
          a.id AS id1, b.id AS id2
-  FROM range({trials}) t(r), elig a, elig b WHERE a.idx < b.idx
+  FROM range({trials}) t(r), nn, elig a, elig b
+  WHERE nn.n * (nn.n - 1) // 2 <= {10 * k} AND a.idx < b.idx
   QUALIFY draw < {k}),
 rp AS (
   SELECT * FROM rp_drawn WHERE (SELECT n * (n - 1) // 2 FROM nn) > {10 * k}

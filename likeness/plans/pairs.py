@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from likeness.operators import pairs, sampling, sets
+from likeness.plans import common
 from likeness.plans.similarity import top_pairs_docs
 from likeness.session import materialize, scratch_path
 from likeness.sources import files, tables
@@ -31,7 +32,7 @@ def q_grouped_audit(spark, sf_dir):
 
 
 def q_pair_validation(spark, sf_dir):
-    docs = tables.doc_terms(spark, sf_dir)
+    docs = common.docs(spark, sf_dir)
     # two pairs with ids no document has: one known + one unknown member,
     # and two unknown members (both sets empty)
     bounds = docs.agg(F.min("user_id").alias("lo"), F.max("user_id").alias("hi"))
@@ -43,11 +44,11 @@ def q_pair_validation(spark, sf_dir):
 
 
 def q_pair_common_ratings(spark, sf_dir):
-    return pairs.common_ratings(tables.doc_terms(spark, sf_dir), checked_pairs(spark, sf_dir))
+    return pairs.common_ratings(common.docs(spark, sf_dir), checked_pairs(spark, sf_dir))
 
 
 def _pair_corr(spark, sf_dir):
-    docs = tables.doc_terms(spark, sf_dir)
+    docs = common.docs(spark, sf_dir)
     p = checked_pairs(spark, sf_dir)
     return pairs.correlation(pairs.common_ratings(docs, p), p)
 
@@ -65,7 +66,7 @@ def q_eligible_users(spark, sf_dir):
 
 
 def _random_pairs(spark, sf_dir):
-    docs = tables.doc_terms(spark, sf_dir)
+    docs = common.docs(spark, sf_dir)
     elig = sets.activity(docs, "user_id", sampling.MIN_RATINGS).select(
         F.col("user_id").alias("id"))
     return docs, sampling.random_pairs(elig)

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from likeness.operators import als, popularity, ranking, split
+from likeness.plans import common
 from likeness.session import written
 from likeness.sources import tables
 
@@ -31,7 +32,7 @@ def _split(spark, sf_dir):
 def _doc_split(spark, sf_dir):
     return written(spark, "doc_split", _paths(sf_dir, "documents"),
                    (split.MIN_ITEMS, split.TRAIN_TENTHS, split.VAL_TENTHS),
-                   lambda: split.assign_split(tables.doc_terms(spark, sf_dir), "user_id", "item"))
+                   lambda: split.assign_split(common.docs(spark, sf_dir), "user_id", "item"))
 
 
 def q_split_assignment(spark, sf_dir):
