@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pandas as pd
-import pytest
 
 from likeness.sources import files, tables
 
