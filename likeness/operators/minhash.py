@@ -31,25 +31,57 @@ from likeness.functions.hashing import (  # noqa: F401  (re-exported parameters)
 )
 
 
+# Fixed budget: rows of one entity aggregated by one task before it is split
+# into salted slices; and the largest heavy-entity list that is broadcast.
+HEAVY_ROWS = 5_000_000
+HEAVY_BROADCAST_LIMIT = 100_000
+
+
+def _slot_aggs(params, src: str = "h"):
+    return [F.min((F.col(src) * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_PRIME)).alias(f"s{i}")
+            for i, (a, b) in enumerate(params)]
+
+
 def signatures(df: DataFrame, entity: str = "user_id", item: str = "item",
-               num_perm: int = NUM_PERM, seed: int = SEED) -> DataFrame:
-    """(id BIGINT, n BIGINT, sig ARRAY<BIGINT>).
+               num_perm: int = NUM_PERM, seed: int = SEED,
+               heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """(id BIGINT, n BIGINT, sig ARRAY<BIGINT>) from long-form interactions.
 
     Slot i is the min over the entity's items of ``(a_i * h(item) + b_i) mod p``
-    (set semantics); ``n`` is the entity's row count (bag semantics, duplicates
-    counted), computed in the same aggregate so the threshold filter needs no
-    second pass over the interactions.
-
-    Long-form input: the map-side partial aggregate keeps a very active
-    entity parallel (one partial signature per input partition it touches).
-    When every entity's items come in one row, use ``signatures_of_rows``.
+    (set semantics: duplicates change nothing); ``n`` is the entity's row
+    count (bag semantics, duplicates counted).
+
+    Plan: the 16-byte (entity, hash) rows are shuffled by entity and each
+    entity is aggregated completely after the shuffle - a map-side partial
+    aggregate would ship one 1 KB partial signature per (entity, input
+    partition), up to 64x the input for entities spread thin.  Entities with
+    more than ``heavy_rows`` rows are found first (one cheap count) and
+    salted by item hash into ceil(n / heavy_rows) slices, so no task
+    aggregates more than about ``heavy_rows`` rows; their few slice
+    signatures are merged in a second aggregate.
     """
     params = minhash_params(num_perm, seed)
-    _ensure_codegen_width(df.sparkSession, num_perm)
+    spark = df.sparkSession
+    _ensure_codegen_width(spark, num_perm)
     hashed = df.select(F.col(entity).alias("id"), element_hash(F.col(item)).alias("h"))
-    slots = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_PRIME)).alias(f"s{i}")
-             for i, (a, b) in enumerate(params)]
-    wide = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *slots)
+    counts = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("_c"))
+    heavy = counts.where(F.col("_c") > heavy_rows).select(
+        "id", F.ceil(F.col("_c") / F.lit(heavy_rows)).cast("bigint").alias("_slices"))
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        wide = (hashed.repartition("id").groupBy("id")
+                .agg(F.count(F.lit(1)).alias("n"), *_slot_aggs(params)))
+    else:
+        # the heavy list has at most rows / heavy_rows entries; broadcast it
+        # only under a fixed limit, else join by shuffle (AQE splits skew)
+        side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_LIMIT else heavy
+        salted = (hashed.join(side, "id", "left")
+                  .withColumn("_salt", F.col("h") % F.coalesce(F.col("_slices"), F.lit(1)))
+                  .drop("_slices"))
+        part = (salted.repartition("id", "_salt").groupBy("id", "_salt")
+                .agg(F.count(F.lit(1)).alias("_n"), *_slot_aggs(params)))
+        wide = part.groupBy("id").agg(
+            F.sum("_n").alias("n"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(num_perm)])
     return wide.select("id", "n",
                        F.array(*[F.col(f"s{i}") for i in range(num_perm)]).alias("sig"))
 

@@ -148,3 +148,12 @@ def test_fewer_pairs_than_k(spark):
     _, members, _, scored = signature_index(minhash.signatures(_long(spark, sets)), min_count=5)
     out = toppairs.top_pairs(members, scored, (5,), 100).collect()
     assert sorted((r["id1"], r["id2"]) for r in out) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_heavy_entities_are_salted_exactly(spark):
+    sets = {1: list(range(500)) + list(range(100)), 2: [3, 4, 5], 3: list(range(50, 130))}
+    inter = _long(spark, sets)
+    plain = sorted(map(tuple, minhash.signatures(inter).collect()))
+    salted = sorted(map(tuple, minhash.signatures(inter, heavy_rows=40).collect()))
+    assert plain == salted
+    assert {r[0]: r[1] for r in plain} == {1: 600, 2: 3, 3: 80}
