@@ -2,9 +2,11 @@
 
 Plan shape (A3 -> J7 -> F2):
 
-* signatures: one ``groupBy(entity)`` with ``num_perm`` ``min`` aggregates.
-  ``min`` is idempotent, so duplicate interactions need no ``distinct`` and the
-  aggregate combines map-side: a huge entity costs constant state per task.
+* signatures: ``num_perm`` ``min`` aggregates per entity; ``min`` is
+  idempotent, so duplicate interactions need no ``distinct``.  Long form:
+  16-byte (entity, hash) rows are shuffled by entity (salted for entities
+  above a row budget) and aggregated after the shuffle.  Row form (all items
+  of an entity in one row): a map-only vectorized UDF, no shuffle.
 * exact copies: entities with identical signatures collapse to one
   representative (the smallest id) before banding, so a group of m copies
   costs m rows, not m^2/2 pairs per band.
@@ -214,6 +216,8 @@ def lsh_candidates(reps: DataFrame, id_col: str = "group_id", num_bands: int = N
     bands = band_keys(reps, id_col, num_bands, rows_per_band)
     left = bands.select(F.col("id").alias("id1"), "band", "key")
     right = bands.select(F.col("id").alias("id2"), "band", "key")
+    # a bucket shared by many distinct signatures is skewed on both sides;
+    # AQE's skew join splits both and joins the slices pairwise
     return (left.join(right, ["band", "key"])
             .where(F.col("id1") < F.col("id2"))
             .select("id1", "id2").distinct())
