@@ -1,7 +1,8 @@
 """Statistics of given entity pairs.
 
 Pair lists here are bounded (a top-k report, or k draws per trial), so they
-are broadcast and the interaction table is scanned once for all pairs -
+are broadcast (after a size check; a larger list is shuffle-joined) and the
+interaction table is scanned once for all pairs -
 never per pair and never as an all-entities self-join.  The two members'
 rows meet in an equi-join keyed by (pair, item), which spreads a very
 active entity over many tasks.
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from likeness.functions.scalar import safe_jaccard
 from likeness.operators.sets import SAMPLE_SIZE, first_items
+from likeness.session import bounded_broadcast
 
 PAIR_KEYS = ["id1", "id2"]
 
@@ -21,7 +23,7 @@ PAIR_KEYS = ["id1", "id2"]
 def _sides(inter: DataFrame, pairs: DataFrame, entity: str, item: str, value: str | None,
            keys: list[str]):
     """Rows of member 1 and member 2 of every pair, keyed by (keys, item)."""
-    p = F.broadcast(pairs.select(*keys).distinct())
+    p = bounded_broadcast(pairs.select(*keys).distinct())
     cols = [F.col(entity), F.col(item).alias("item")]
     if value is not None:
         cols.append(F.col(value).alias("v"))
@@ -93,8 +95,8 @@ def validate(inter: DataFrame, pairs: DataFrame, entity: str = "user_id",
     (id1, id2, exists1, exists2, n1, n2, common, same_set, jaccard, sample1, sample2).
     Set semantics: duplicate interactions count once."""
     p = pairs.select("id1", "id2").distinct()
-    ids = F.broadcast(p.select(F.col("id1").alias("id")).union(p.select(F.col("id2").alias("id")))
-                      .distinct())
+    ids = bounded_broadcast(p.select(F.col("id1").alias("id"))
+                            .union(p.select(F.col("id2").alias("id"))).distinct())
     rows = inter.select(F.col(entity).alias("id"), F.col(item).alias("item")).distinct()
     mine = rows.join(ids, "id", "left_semi")
     sizes = mine.groupBy("id").agg(F.count(F.lit(1)).alias("n"))

@@ -108,3 +108,16 @@ def written(spark: SparkSession, name: str, inputs: list[str], params: tuple, bu
     if key not in _WRITTEN:
         _WRITTEN[key] = materialize(build(), name)
     return _WRITTEN[key]
+
+
+# Fixed value: most rows a side may have to be broadcast by ``bounded_broadcast``.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast hint only after checking the size: ``df`` is counted
+    (callers pass small, usually written, tables) and left to a shuffle join
+    when it has more than ``max_rows`` rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
