@@ -78,8 +78,14 @@ def q_popularity_topk(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
+    """(split, item stats, validation metrics per beta); the metrics table
+    (251 rows) is written once and read by both the sweep and the best-beta
+    report."""
     s, stats = _stats(spark, sf_dir)
-    return s, stats, popularity.sweep(stats, _truth(s, ["val"]).drop("split"))
+    sw = written(spark, "beta_sweep", _paths(sf_dir, "lineitem", "orders"),
+                 (popularity.BETA_MIN, popularity.BETA_MAX, popularity.TOP_K),
+                 lambda: popularity.sweep(stats, _truth(s, ["val"]).drop("split")))
+    return s, stats, sw
 
 
 def q_beta_sweep(spark, sf_dir):
