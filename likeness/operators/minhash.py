@@ -194,12 +194,21 @@ def signature_groups(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     the signature, so a group of copies holding a third of all entities is
     split over tasks (AQE skew join) instead of landing in one.
     """
-    keyed = _with_sig_key(sig)
-    reps = keyed.groupBy("sig_key", "sig").agg(
+    reps = group_reps(sig)
+    return group_members(sig, reps), reps.select("group_id", "sig")
+
+
+def group_reps(sig: DataFrame) -> DataFrame:
+    """(sig_key, sig, group_id, group_size): one row per distinct signature."""
+    return _with_sig_key(sig).groupBy("sig_key", "sig").agg(
         F.min("id").alias("group_id"), F.count(F.lit(1)).alias("group_size"))
-    members = keyed.join(reps, ["sig_key", "sig"]).select(
+
+
+def group_members(sig: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, n, group_id, group_size) from ``group_reps`` output (pass it
+    written, so the grouping runs once)."""
+    return _with_sig_key(sig).join(reps, ["sig_key", "sig"]).select(
         "id", "n", "group_id", "group_size")
-    return members, reps.select("group_id", "sig")
 
 
 def band_keys(reps: DataFrame, id_col: str = "group_id", num_bands: int = NUM_BANDS,

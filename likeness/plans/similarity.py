@@ -52,9 +52,9 @@ def signature_index(sig: DataFrame, min_count: int | None = None):
     # the signature table and the groups feed several joins each: write them
     # once to the shared checkpoint folder (no recomputation, no lineage)
     sig = materialize(sig, "signatures")
-    members, reps = minhash.signature_groups(sig)
-    members = materialize(members, "signature_members")
-    reps = materialize(reps, "signature_reps")
+    groups = materialize(minhash.group_reps(sig), "signature_reps")
+    members = materialize(minhash.group_members(sig, groups), "signature_members")
+    reps = groups.select("group_id", "sig")
     cand = minhash.lsh_candidates(reps)
     scored = minhash.score_pairs(cand, reps)
     return sig, members, reps, scored
