@@ -97,11 +97,13 @@ def validate(inter: DataFrame, pairs: DataFrame, entity: str = "user_id",
     p = pairs.select("id1", "id2").distinct()
     ids = bounded_broadcast(p.select(F.col("id1").alias("id"))
                             .union(p.select(F.col("id2").alias("id"))).distinct())
-    rows = inter.select(F.col(entity).alias("id"), F.col(item).alias("item")).distinct()
-    mine = rows.join(ids, "id", "left_semi")
+    # restrict to the pair members first (map-side, broadcast semi-join), so
+    # only their rows are de-duplicated and shuffled
+    mine = (inter.select(F.col(entity).alias("id"), F.col(item).alias("item"))
+            .join(ids, "id", "left_semi").distinct())
     sizes = mine.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     samples = first_items(mine, "id", "item", SAMPLE_SIZE, "sample")
-    a, b = _sides(rows.withColumnRenamed("id", "user_id"), p, "user_id", "item", None, PAIR_KEYS)
+    a, b = _sides(mine.withColumnRenamed("id", "user_id"), p, "user_id", "item", None, PAIR_KEYS)
     common = a.join(b, PAIR_KEYS + ["item"]).groupBy(*PAIR_KEYS).agg(
         F.count(F.lit(1)).alias("common"))
 
