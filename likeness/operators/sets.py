@@ -40,7 +40,9 @@ def item_sets(df: DataFrame, entity: str = "user_id", item: str = "item_id") ->
         F.sum("_c").alias("n_rows"),
         F.count(F.lit(1)).alias("n_items"),
         F.sum(element_hash(F.col(item))).alias("items_digest"))
-    return (stats.join(first_items(df, entity, item), entity)
+    # the per-(entity, item) counts are already distinct and partitioned:
+    # the sample reads them instead of de-duplicating the raw rows again
+    return (stats.join(first_items(per_item, entity, item), entity)
             .select(F.col(entity).alias("user_id"), "n_rows", "n_items", "items_digest",
                     "first_items"))
 
