@@ -64,3 +64,14 @@ def test_random_pairs_small_population_matches_oracle(spark, tmp_path):
         rows = [tuple(r) for r in df.collect()]
         assert len(rows) == len(orows) and len(rows) > 0
         assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+PLAN_SMELLS = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in
+                                        ("als_explicit", "als_implicit", "als_grid")))
+def test_no_cartesian_or_row_udf_in_plan(spark, name):
+    # ALS's own top-k is Spark ML's blocked cross product and is excluded
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [s for s in PLAN_SMELLS if s in plan]
