@@ -3,12 +3,14 @@ per-entity item sets (ratings_raw fixture)."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from likeness.operators import pairs, sampling, sets
+from likeness.operators import pairs, sampling, sets, toppairs
 from likeness.plans import common
 from likeness.plans.similarity import top_pairs_docs
-from likeness.session import materialize, scratch_path
+from likeness.session import materialize, scratch_path, written
 from likeness.sources import files, tables
 
 # The pair file the source project re-checks is the top-100 of
@@ -17,10 +19,12 @@ CHECKED_THRESHOLD = 50
 
 
 def checked_pairs(spark, sf_dir):
-    """The re-checked pair list (<= 100 rows), written once: every check
-    below references it several times."""
-    top = top_pairs_docs(spark, sf_dir, thresholds=(CHECKED_THRESHOLD,))
-    return materialize(top.select("id1", "id2"), "checked_pairs")
+    """The re-checked pair list (<= 100 rows), written once per input: every
+    check below reads it (the source project hands it over as a file)."""
+    return written(spark, "checked_pairs", [os.path.join(sf_dir, "documents.parquet")],
+                   (CHECKED_THRESHOLD, toppairs.TOP_K),
+                   lambda: top_pairs_docs(spark, sf_dir, thresholds=(CHECKED_THRESHOLD,))
+                   .select("id1", "id2"))
 
 
 def q_grouped_items(spark, sf_dir):
