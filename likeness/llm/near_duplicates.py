@@ -246,3 +246,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rep.join(whole, "id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id"))
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+             similarity: int = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group: the smallest id
+    stays, and of rows repeating an id the smallest row.  Rows without an id
+    cannot be named as anyone's copy and stay."""
+    found = near_duplicates(docs, id_col, text_col, words, similarity)
+    gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("__id"))
+    rows = docs.join(gone, F.col(f"`{id_col}`").cast("bigint") == F.col("__id"), "left_anti")
+    key = F.col(f"`{id_col}`").alias("__id")
+    again = (docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+             .where("__n > 1").select("__id"))
+    single = rows.join(again, F.col(f"`{id_col}`") == F.col("__id"), "left_anti")
+    least = (rows.join(again, F.col(f"`{id_col}`") == F.col("__id"), "left_semi")
+             .groupBy(key).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row"))
+             .select("__row.*"))
+    return single.unionByName(least)

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pyspark.sql import functions as F
-
+from likeness.llm import chat, language, packing, pieces, quality, secret_scan
 from likeness.llm import near_duplicates as near
-from likeness.llm import packing, pieces, secret_scan
 from likeness.llm.common import table
 
 
@@ -16,6 +14,14 @@ def op1_sentencepiece(spark, sf_dir):
                                    public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def op3_quality(spark, sf_dir):
+    return quality.q_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_chat(spark, sf_dir):
+    return chat.q_chat(table(spark, sf_dir, "conversations"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -28,11 +34,18 @@ def op7_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark, sf_dir):
+    return language.q_language(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_quality": op3_quality,
+    "op4_chat": op4_chat,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op7_near_duplicates": op7_near_duplicates,
+    "op9_language": op9_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_chat": chat.Q_CHAT_SQL}
