@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from likeness.llm import chat, language, packing, pieces, quality, secret_scan
+from likeness.llm import (chat, language, lattice, packing, permutation_index, pieces, private_terms, quality,
+                          secret_scan)
 from likeness.llm import near_duplicates as near
 from likeness.llm.common import table
 
@@ -14,6 +15,10 @@ def op1_sentencepiece(spark, sf_dir):
                                    public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def op2_nearest(spark, sf_dir):
+    return permutation_index.q_nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark, sf_dir):
     return quality.q_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,18 +39,29 @@ def op7_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_private(spark, sf_dir):
+    return private_terms.q_private(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark, sf_dir):
     return language.q_language(table(spark, sf_dir, "documents"))
 
 
+def op10_near_vectors(spark, sf_dir):
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_nearest": op2_nearest,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_private": op8_private,
     "op9_language": op9_language,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_chat": chat.Q_CHAT_SQL}
