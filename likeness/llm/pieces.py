@@ -31,6 +31,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,42 +88,43 @@ class _Numbers(dict):
 
 
 def _blocks(path: str, buckets: int, block_bytes: int):
-    """Step 1 on one partition."""
-    names = ["block", "row", "doc_id", "positions", "bucket", "places", "words"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.string())]
+    """Step 1 on one partition.  Within a block, words are numbered by falling
+    frequency: a position is then mostly a small number and compresses well."""
+    names = ["block", "doc_id", "positions", "bucket", "places", "words"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
-    def close(block, numbers):
+    def close(block, numbers, doc_ids, found):
         words = list(numbers)
-        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) > 0, True]) if len(words) else [0]
-        parts = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        used = np.bincount(np.concatenate(found), minlength=len(words))
+        order = np.argsort(-used, kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        n = len(doc_ids)
+        yield _record(names, types, [[block] * n, doc_ids, [_squeeze(rank[at]) for at in found], *[[None] * n] * 3])
+        bucket = np.fromiter((zlib.crc32(words[i].encode()) % buckets for i in order), np.int64, len(words))
+        dealt = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[dealt]) > 0, True]) if len(words) else [0]
+        parts = [dealt[a:b] for a, b in zip(cuts[:-1], cuts[1:])]      # ranks, ascending
         n = len(parts)
-        return _record(names, types, [
-            [block] * n, [None] * n, [None] * n, [None] * n, [int(bucket[p[0]]) for p in parts],
-            [zlib.compress(p.astype("<u4").tobytes(), 1) for p in parts], [[words[i] for i in p] for p in parts]])
+        yield _record(names, types, [
+            [block] * n, [None] * n, [None] * n, [int(bucket[p[0]]) for p in parts],
+            [_squeeze(np.diff(p, prepend=0)) for p in parts],
+            [_pack(MARK.join(words[i] for i in order[p]).encode()) for p in parts]])
 
     def run(batches):
         sp, part = model(path), TaskContext.get().partitionId()
-        count, numbers, held, row = 0, _Numbers(), 0, 0
+        count, numbers, held, doc_ids, found = 0, _Numbers(), 0, [], []
         for batch in batches:
-            rows: list[list] = [[], [], [], []]
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, text in zip(ids, texts):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = marked_words(sp, text or "")
-                at = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
-                for column, value in zip(rows, ((part << 32) | count, (part << 32) | row, doc_id, _squeeze(at))):
-                    column.append(value)
-                row += 1
+                doc_ids.append(doc_id)
+                found.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
                 held += len(text or "")
                 if held >= block_bytes:
-                    yield _record(names, types, [*rows, *[[None] * len(rows[0])] * 3])
-                    yield close((part << 32) | count, numbers)
-                    rows, count, numbers, held = [[], [], [], []], count + 1, _Numbers(), 0
-            if rows[0]:
-                yield _record(names, types, [*rows, *[[None] * len(rows[0])] * 3])
-        if numbers:
-            yield close((part << 32) | count, numbers)
+                    yield from close((part << 32) | count, numbers, doc_ids, found)
+                    count, numbers, held, doc_ids, found = count + 1, _Numbers(), 0, [], []
+        if doc_ids:
+            yield from close((part << 32) | count, numbers, doc_ids, found)
     return run
 
 
@@ -130,13 +132,21 @@ def _record(names, types, columns):
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names)
 
 
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _squeeze(at: np.ndarray) -> bytes:
-    """Positions as compressed byte planes: the high bytes hardly vary."""
-    return zlib.compress(at.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    """Numbers as compressed byte planes: the high bytes hardly vary."""
+    return _pack(at.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unsqueeze(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_unpack(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -151,7 +161,8 @@ def _segment(path: str):
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("block", "bucket", "places", "words")]
             rows: list[list] = [[], [], [], []]
-            for block, b, places, words in zip(*columns):
+            for block, b, places, packed in zip(*columns):
+                words = _unpack(packed).decode().split(MARK)
                 if b != bucket:
                     bucket, known = b, {}
                 new = [w for w in words if w not in known]
@@ -179,7 +190,7 @@ def _restore(path: str, digest: bool):
     def run(docs, parts):
         sp, decimal = model(path), None
         starts, counts, flats, base = [], [], [], 0
-        places = [np.frombuffer(zlib.decompress(p), "<u4") for p in parts.column("places").to_pylist()]
+        places = [np.cumsum(_unsqueeze(p).astype(np.int64)) for p in parts.column("places").to_pylist()]
         for c, f in zip(parts.column("counts").to_pylist(), parts.column("ids").to_pylist()):
             c, f = _unsqueeze(c).astype(np.int64), _unsqueeze(f)
             starts.append(base + np.cumsum(c) - c)
@@ -222,7 +233,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     blocks = materialize(source.mapInArrow(
         _blocks(model_path, buckets, block_bytes),
-        "block long, row long, doc_id long, positions binary, bucket int, places binary, words array<string>"),
+        "block long, doc_id long, positions binary, bucket int, places binary, words binary"),
         "piece-blocks")
     words = blocks.where("bucket is not null").select("block", "bucket", "places", "words")
     segmented = words.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
