@@ -7,8 +7,9 @@ the next marker) is segmented alone.  The corpus is encoded in three steps:
 1. *Blocks* (map-only): the documents of a partition are cut into blocks of
    about ``BLOCK_BYTES`` of text.  A block keeps one dictionary of its distinct
    marked words and, for each document, the dictionary positions of its words.
-   The dictionary leaves in ``buckets`` parts by a hash of the word.  The
-   result is written once, so that block numbers are fixed whatever is retried.
+   The dictionary leaves in ``buckets`` parts by a hash of the word.  A block is
+   named by a digest of its dictionary, so that positions never meet another
+   dictionary than their own, whatever is read or run again.
 2. *Distinct words*: dictionary parts meet by bucket; within a bucket each
    distinct marked word of the corpus is segmented once.  A frequent word
    comes once per block, never once per occurrence.
@@ -31,6 +32,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -93,8 +95,9 @@ def _blocks(path: str, buckets: int, block_bytes: int):
     names = ["block", "doc_id", "positions", "bucket", "places", "words"]
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
-    def close(block, numbers, doc_ids, found):
+    def close(place, numbers, doc_ids, found):
         words = list(numbers)
+        block = xxhash.xxh3_64_intdigest(MARK.join(words), seed=place & (2**64 - 1)) >> 1
         used = np.bincount(np.concatenate(found), minlength=len(words))
         order = np.argsort(-used, kind="stable")
         rank = np.empty(len(words), np.uint32)
@@ -198,6 +201,8 @@ def _restore(path: str, digest: bool):
             flats.append(f)
             base += len(f)
         size = sum(map(len, places))
+        if not size and docs.num_rows and any(len(_unsqueeze(p)) for p in docs.column("positions").to_pylist()):
+            raise ValueError("the documents changed while they were read: a block lacks its dictionary")
         start, count = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for p, s, c in zip(places, starts, counts):
             start[p], count[p] = s, c
@@ -220,21 +225,25 @@ def _restore(path: str, digest: bool):
 
 
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                     digest: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                     digest: bool = False, block_bytes: int = BLOCK_BYTES, reread: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) per row of ``docs``; with ``digest``
     ``ids_sha256`` and ``decoded_sha256`` stand for the two wide columns.
 
-    ``model_path`` must be readable on every executor.
+    ``model_path`` must be readable on every executor.  ``reread``: ``docs`` is
+    read straight from files, which give the same rows in the same order each
+    time, so the blocks are made twice in place of being written (half the
+    disk); a difference raises ``ValueError``.
     """
     check_model(model_path)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS_PER_PARTITION * parts
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    blocks = materialize(source.mapInArrow(
+    blocks = source.mapInArrow(
         _blocks(model_path, buckets, block_bytes),
-        "block long, doc_id long, positions binary, bucket int, places binary, words binary"),
-        "piece-blocks")
+        "block long, doc_id long, positions binary, bucket int, places binary, words binary")
+    if not reread:
+        blocks = materialize(blocks, "piece-blocks")
     words = blocks.where("bucket is not null").select("block", "bucket", "places", "words")
     segmented = words.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _segment(model_path), "block long, places binary, counts binary, ids binary")

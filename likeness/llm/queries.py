@@ -12,7 +12,7 @@ from likeness.llm.common import table
 
 def op1_sentencepiece(spark, sf_dir):
     return pieces.encode_documents(table(spark, sf_dir, "documents"),
-                                   public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+                                   public_tokenizers.path("piece_bpe_32k.model"), digest=True, reread=True)
 
 
 def op2_nearest(spark, sf_dir):
