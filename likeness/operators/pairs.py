@@ -75,7 +75,7 @@ def correlation(common: DataFrame, pairs: DataFrame, keys: list[str] = PAIR_KEYS
         *keys,
         F.coalesce("n_common", F.lit(0)).cast("bigint").alias("n_common"),
         "status",
-        F.round(corr, 6).alias("corr"),
+        corr.alias("corr"),
         F.coalesce(corr >= F.lit(1.0 - 1e-9), F.lit(False)).alias("perfect_corr"),
         F.coalesce(F.col("_same"), F.lit(False)).alias("identical_ratings"),
         F.when(F.col("status").startswith("constant"), F.col("constant_items"))
@@ -85,7 +85,7 @@ def correlation(common: DataFrame, pairs: DataFrame, keys: list[str] = PAIR_KEYS
 def mean_correlation(corr: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(by..., n_pairs, avg_corr) over pairs with status ok."""
     ok = corr.where(F.col("status") == "ok")
-    aggs = [F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg("corr"), 6).alias("avg_corr")]
+    aggs = [F.count(F.lit(1)).alias("n_pairs"), F.avg("corr").alias("avg_corr")]
     return ok.groupBy(*(by or [])).agg(*aggs)
 
 
@@ -121,6 +121,6 @@ def validate(inter: DataFrame, pairs: DataFrame, entity: str = "user_id",
         F.col("_n1").isNotNull().alias("exists1"), F.col("_n2").isNotNull().alias("exists2"),
         n1.alias("n1"), n2.alias("n2"), k.alias("common"),
         ((k == n1) & (k == n2)).alias("same_set"),
-        F.round(safe_jaccard(k, n1, n2), 6).alias("jaccard"),
+        safe_jaccard(k, n1, n2).alias("jaccard"),
         F.coalesce("sample1", F.lit("")).alias("sample1"),
         F.coalesce("sample2", F.lit("")).alias("sample2"))

@@ -34,6 +34,18 @@ def _eligible(members: DataFrame, thresholds) -> DataFrame:
         F.explode(F.filter(ts, lambda t: t < F.col("n"))).alias("min_ratings"))
 
 
+def product(a, b):
+    """Exact product of two counts, beyond 2^63 as well."""
+    return a.cast("decimal(19,0)") * b.cast("decimal(19,0)")
+
+
+def pairs_within(size: str):
+    """size * (size - 1) / 2, exactly: the even factor is halved first."""
+    even = F.col(size) % 2 == 0
+    return product(F.when(even, F.expr(f"{size} div 2")).otherwise(F.col(size)),
+                    F.when(even, F.col(size) - 1).otherwise(F.expr(f"({size} - 1) div 2")))
+
+
 def pair_histogram(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOLDS):
     """Returns (eligible, cross, hist).
 
@@ -44,13 +56,12 @@ def pair_histogram(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOL
     elig = _eligible(members, thresholds)
     sizes = elig.groupBy("min_ratings", "group_id").agg(F.count(F.lit(1)).alias("e"))
     inside = sizes.where(F.col("e") >= 2).select(
-        "min_ratings", F.lit(1.0).alias("estimated_jaccard"),
-        (F.col("e") * (F.col("e") - 1) / 2).cast("bigint").alias("cnt"))
+        "min_ratings", F.lit(1.0).alias("estimated_jaccard"), pairs_within("e").alias("cnt"))
     s1 = sizes.select("min_ratings", F.col("group_id").alias("id1"), F.col("e").alias("e1"))
     s2 = sizes.select("min_ratings", F.col("group_id").alias("id2"), F.col("e").alias("e2"))
     cross = (rep_pairs.join(s1, "id1").join(s2, ["min_ratings", "id2"])
              .select("min_ratings", "id1", "id2", "estimated_jaccard",
-                     (F.col("e1") * F.col("e2")).alias("cnt")))
+                     product(F.col("e1"), F.col("e2")).alias("cnt")))
     hist = (inside.unionByName(cross.select("min_ratings", "estimated_jaccard", "cnt"))
             .groupBy("min_ratings", "estimated_jaccard").agg(F.sum("cnt").alias("cnt")))
     return elig, cross, hist
@@ -147,4 +158,4 @@ def top_pairs(members: DataFrame, rep_pairs: DataFrame, thresholds=THRESHOLDS,
     # the report holds at most k rows per threshold
     return (F.broadcast(top).join(n1, "id1").join(n2, "id2")
             .select("min_ratings", F.col("rank").cast("bigint").alias("rank"), "id1", "id2",
-                    F.round("estimated_jaccard", 6).alias("estimated_jaccard"), "n1", "n2"))
+                    "estimated_jaccard", "n1", "n2"))

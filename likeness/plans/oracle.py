@@ -91,9 +91,14 @@ def similarity_brute_force() -> str:
                        _candidates("bands", "cand"), _scored("cand", "scored")])
 
 
-def similarity_reps() -> str:
-    return ",\n".join([DOC_TERMS, _signatures(), _groups(), _bands("reps", "group_id", "rbands"),
-                       _candidates("rbands", "rcand"), _scored("rcand", "rscored")])
+def similarity_by_group() -> str:
+    """The expanded pairs, each named by the copy groups of its members."""
+    return ",\n".join([similarity_brute_force(), _groups()]) + """,
+named AS (
+  SELECT least(g1.group_id, g2.group_id) AS group1, greatest(g1.group_id, g2.group_id) AS group2,
+         sc.estimated_jaccard
+  FROM scored sc JOIN sig a ON a.id = sc.id1 JOIN grp g1 ON g1.s = a.s
+  JOIN sig b ON b.id = sc.id2 JOIN grp g2 ON g2.s = b.s)"""
 
 
 def top_pairs_sql() -> str:
@@ -105,7 +110,7 @@ top AS (
          s.id1, s.id2, s.estimated_jaccard, e1.n AS n1, e2.n AS n2
   FROM scored s JOIN ent e1 ON e1.id = s.id1 JOIN ent e2 ON e2.id = s.id2
   JOIN th t ON e1.n > t.min_ratings AND e2.n > t.min_ratings)
-SELECT min_ratings, rank::BIGINT AS rank, id1, id2, round(estimated_jaccard, 6) AS estimated_jaccard,
+SELECT min_ratings, rank::BIGINT AS rank, id1, id2, round(estimated_jaccard, 7) AS estimated_jaccard,
        n1::BIGINT AS n1, n2::BIGINT AS n2
 FROM top WHERE rank <= {TOP_K}"""
 
@@ -203,11 +208,13 @@ def build() -> dict[str, str]:
 SELECT id, perm::BIGINT AS perm, h FROM sig_long"""
     q["signature_groups"] = "WITH " + ",\n".join([DOC_TERMS, _signatures(), _groups()]) + """
 SELECT sig.id, grp.group_id, grp.group_size::BIGINT AS group_size FROM sig JOIN grp USING (s)"""
-    q["lsh_candidates"] = "WITH " + similarity_reps() + "\nSELECT id1, id2 FROM rcand"
-    q["similar_pairs"] = "WITH " + similarity_reps() + """
-SELECT r.id1, r.id2, round(r.estimated_jaccard, 6) AS estimated_jaccard,
-       e1.n::BIGINT AS n1, e2.n::BIGINT AS n2
-FROM rscored r JOIN ent e1 ON e1.id = r.id1 JOIN ent e2 ON e2.id = r.id2"""
+    q["lsh_candidates"] = "WITH " + similarity_by_group() + """
+SELECT DISTINCT group1, group2 FROM named"""
+    q["similar_pairs"] = "WITH " + similarity_by_group() + """
+SELECT n.group1, n.group2, round(min(n.estimated_jaccard), 7) AS estimated_jaccard,
+       min(a.group_size)::BIGINT AS size1, min(b.group_size)::BIGINT AS size2, count(*)::BIGINT AS n_pairs
+FROM named n JOIN grp a ON a.group_id = n.group1 JOIN grp b ON b.group_id = n.group2
+GROUP BY n.group1, n.group2"""
     q["pairs_per_threshold"] = "WITH " + ",\n".join([similarity_brute_force(), _th()]) + f"""
 SELECT t.min_ratings::BIGINT AS min_ratings, count(s.id1)::BIGINT AS n_pairs,
        least(count(s.id1), {TOP_K})::BIGINT AS n_kept
@@ -217,7 +224,8 @@ FROM th t LEFT JOIN (
   ON s.n1 > t.min_ratings AND s.n2 > t.min_ratings
 GROUP BY t.min_ratings"""
     q["top_pairs_by_threshold"] = top_pairs_sql()
-    q["csv_roundtrip"] = q["similar_pairs"]
+    q["csv_roundtrip"] = ("SELECT id1, id2, estimated_jaccard, n1, n2 FROM (" + top_pairs_sql()
+                          + ") r WHERE min_ratings = 50")
 
     # item sets over every order line
     q["grouped_items"] = "WITH " + RATINGS_RAW + f""",
@@ -286,7 +294,7 @@ pt AS (SELECT trial, count(*) AS n_pairs, avg(r_raw) AS a FROM rpc WHERE status
 tt AS (SELECT t.r AS trial, coalesce(pt.n_pairs, 0) AS n_pairs, coalesce(pt.a, 0.0) AS a
        FROM range(20) t(r) LEFT JOIN pt ON pt.trial = t.r)
 SELECT trial::BIGINT AS trial, n_pairs::BIGINT AS n_pairs, round(a, 6) AS avg_corr,
-       round((SELECT sum(round(a, 6)) FROM tt) / 20.0, 6) AS final_corr
+       round((SELECT sum(a) FROM tt) / 20.0, 6) AS final_corr
 FROM tt"""
 
     # split

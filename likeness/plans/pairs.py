@@ -44,7 +44,8 @@ def q_pair_validation(spark, sf_dir):
         F.struct(F.col("lo").alias("id1"), (F.col("hi") + 1).alias("id2")),
         F.struct((F.col("hi") + 1).alias("id1"), (F.col("hi") + 2).alias("id2")))).alias("p")
     ).select("p.id1", "p.id2")
-    return pairs.validate(docs, checked_pairs(spark, sf_dir).unionByName(unknown))
+    found = pairs.validate(docs, checked_pairs(spark, sf_dir).unionByName(unknown))
+    return found.withColumn("jaccard", F.round("jaccard", 6))
 
 
 def q_pair_common_ratings(spark, sf_dir):
@@ -58,11 +59,12 @@ def _pair_corr(spark, sf_dir):
 
 
 def q_pair_correlation(spark, sf_dir):
-    return _pair_corr(spark, sf_dir)
+    return _pair_corr(spark, sf_dir).withColumn("corr", F.round("corr", 6))
 
 
 def q_avg_pair_correlation(spark, sf_dir):
-    return pairs.mean_correlation(_pair_corr(spark, sf_dir))
+    return pairs.mean_correlation(_pair_corr(spark, sf_dir)).withColumn(
+        "avg_corr", F.round("avg_corr", 6))
 
 
 def q_eligible_users(spark, sf_dir):
@@ -91,13 +93,13 @@ def q_random_pair_baseline(spark, sf_dir):
            .select("trial", F.coalesce("n_pairs", F.lit(0)).cast("bigint").alias("n_pairs"),
                    F.coalesce("avg_corr", F.lit(0.0)).alias("avg_corr")))
     final = out.agg(F.round(F.sum("avg_corr") / F.lit(float(sampling.TRIALS)), 6)).scalar()
-    return out.withColumn("final_corr", final)
+    return out.withColumn("avg_corr", F.round("avg_corr", 6)).withColumn("final_corr", final)
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    from likeness.plans.similarity import q_similar_pairs
-    sp = q_similar_pairs(spark, sf_dir)
-    path = scratch_path(spark, "similar_pairs_csv")
+    # the bounded report of the strictest threshold: at most TOP_K rows
+    sp = top_pairs_docs(spark, sf_dir, thresholds=(CHECKED_THRESHOLD,))
+    path = scratch_path(spark, "top_pairs_csv")
     files.write_csv(sp.select(F.col("id1").cast("double").alias("userId1"),
                               F.col("id2").alias("userId2"), "estimated_jaccard",
                               F.col("n1").alias("user1_ratings"),

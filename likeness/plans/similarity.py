@@ -71,16 +71,33 @@ def q_signature_groups(spark, sf_dir):
 
 
 def q_lsh_candidates(spark, sf_dir):
-    _, _, reps, _ = doc_index(spark, sf_dir)
-    return minhash.lsh_candidates(reps)
+    """Candidate pairs of groups of exact copies, a group with itself included
+    where it has two members or more: with ``signature_groups`` every candidate
+    pair, in a size linear in the members."""
+    _, members, reps, _ = doc_index(spark, sf_dir)
+    return minhash.lsh_candidates(reps).toDF("group1", "group2").unionByName(
+        _copy_groups(members).select("group1", "group2"))
+
+
+def _copy_groups(members):
+    return members.where((F.col("group_size") >= 2) & (F.col("id") == F.col("group_id"))).select(
+        F.col("group_id").alias("group1"), F.col("group_id").alias("group2"),
+        F.lit(1.0).alias("estimated_jaccard"), F.col("group_size").alias("size1"),
+        F.col("group_size").alias("size2"))
 
 
 def q_similar_pairs(spark, sf_dir):
     _, members, _, scored = doc_index(spark, sf_dir)
-    n1 = members.select(F.col("id").alias("id1"), F.col("n").alias("n1"))
-    n2 = members.select(F.col("id").alias("id2"), F.col("n").alias("n2"))
-    return scored.join(n1, "id1").join(n2, "id2").select(
-        "id1", "id2", F.round("estimated_jaccard", 6).alias("estimated_jaccard"), "n1", "n2")
+    groups = members.where(F.col("id") == F.col("group_id"))
+    s1 = groups.select(F.col("id").alias("group1"), F.col("group_size").alias("size1"))
+    s2 = groups.select(F.col("id").alias("group2"), F.col("group_size").alias("size2"))
+    across = (scored.select(F.col("id1").alias("group1"), F.col("id2").alias("group2"), "estimated_jaccard")
+              .join(s1, "group1").join(s2, "group2"))
+    implied = F.when(F.col("group1") == F.col("group2"), toppairs.pairs_within("size1")).otherwise(
+        toppairs.product(F.col("size1"), F.col("size2")))
+    return across.unionByName(_copy_groups(members)).select(
+        "group1", "group2", F.round("estimated_jaccard", 7).alias("estimated_jaccard"),
+        "size1", "size2", implied.cast("bigint").alias("n_pairs"))
 
 
 def q_pairs_per_threshold(spark, sf_dir):
@@ -95,4 +112,5 @@ def top_pairs_docs(spark, sf_dir, thresholds=toppairs.THRESHOLDS, k=toppairs.TOP
 
 
 def q_top_pairs_by_threshold(spark, sf_dir):
-    return top_pairs_docs(spark, sf_dir)
+    return top_pairs_docs(spark, sf_dir).withColumn(
+        "estimated_jaccard", F.round("estimated_jaccard", 7))

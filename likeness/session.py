@@ -87,8 +87,10 @@ def input_fingerprint(spark: SparkSession, path: str) -> tuple:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     files = []
-    for st in fs.listStatus(p):
-        files.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
+    found = fs.listFiles(p, True)      # descends into partition folders
+    while found.hasNext():
+        st = found.next()
+        files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
     return (path, tuple(sorted(files)))
 
 

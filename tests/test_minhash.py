@@ -157,3 +157,11 @@ def test_heavy_entities_are_salted_exactly(spark):
     salted = sorted(map(tuple, minhash.signatures(inter, heavy_rows=40).collect()))
     assert plain == salted
     assert {r[0]: r[1] for r in plain} == {1: 600, 2: 3, 3: 80}
+
+
+def test_pair_counts_are_exact_beyond_doubles(spark):
+    from likeness.operators.toppairs import pairs_within
+
+    sizes = spark.createDataFrame([(200_000_003,), (5_000_000_000,), (2,)], "e bigint")
+    got = {r[0]: int(r[1]) for r in sizes.select("e", pairs_within("e")).collect()}
+    assert got == {e: e * (e - 1) // 2 for e in got}

@@ -6,7 +6,7 @@ import time
 import pandas as pd
 from pyspark.sql import functions as F
 
-from likeness.session import bounded_broadcast, input_parallelism, written
+from likeness.session import bounded_broadcast, input_fingerprint, input_parallelism, written
 
 
 def test_written_table_is_reused_until_the_input_changes(spark, tmp_path):
@@ -50,3 +50,12 @@ def test_input_parallelism_only_for_narrow_scans(spark):
     assert input_parallelism(wide) is wide
     narrow = spark.range(0, 100, numPartitions=1)
     assert input_parallelism(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_a_file_replaced_in_a_partition_folder_is_seen(spark, tmp_path):
+    folder = tmp_path / "t.parquet" / "k=1"
+    folder.mkdir(parents=True)
+    pd.DataFrame({"x": [1]}).to_parquet(folder / "a.parquet")
+    before = input_fingerprint(spark, str(tmp_path / "t.parquet"))
+    pd.DataFrame({"x": [1, 2, 3]}).to_parquet(folder / "a.parquet")
+    assert input_fingerprint(spark, str(tmp_path / "t.parquet")) != before
