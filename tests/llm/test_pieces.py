@@ -25,7 +25,8 @@ def test_digests_on_a_whole_table(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     d = table(spark, SF_SMALL, "documents")
     texts = {r.doc_id: r.text or "" for r in d.select("doc_id", "text").collect()}
-    out = pieces.encode_documents(d, PATH, digest=True, block_bytes=50_000).collect()
+    out = pieces.encode_documents(d, PATH, digest=True, block_bytes=50_000, reread=True).collect()
+    assert sorted(out) == sorted(pieces.encode_documents(d, PATH, digest=True, block_bytes=50_000).collect())
     assert len(out) == len(texts)
     for r in out:
         ids = sp.encode(texts[r.doc_id])
