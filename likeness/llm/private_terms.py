@@ -8,21 +8,21 @@ Everything is DataFrame functions: no Python runs on rows.
    separators that cannot belong to a match are first exchanged, one character
    for one, for a character that ends it.  Positions are running sums of the
    lengths of matches and of what lies between.
-2. A base value is a protected entity.  The words within ``WINDOW`` characters
-   of a mention are its context.  Over the whole corpus, df(e), df(t) and df(t, e)
-   count the documents with the entity, with the term anywhere, and with the
-   term in the entity's context.
+2. A base value is a protected entity.  The words of a document are its terms,
+   those that a base span covers left out.  Over the whole corpus, df(e), df(t)
+   and df(t, e) count the documents with the entity, the term, and both.
 3. A term's disclosure of an entity is its pointwise mutual information as a
    share of the entity's information content,
        log(N df(t, e) / (df(t) df(e))) / log(N / df(e)),
    1 for a term seen with that entity alone, and 0 for an independent one.  From
-   ``SUPPORT`` documents and ``DISCLOSURE`` on, the term is a span of kind
-   ``term`` in every context of that entity.  ``sanitise`` puts a class in place
-   of base spans, generalises terms above ``DISCLOSURE`` and removes those at
-   or above ``REMOVAL``.
+   ``SUPPORT`` documents and ``DISCLOSURE`` on, every occurrence of the term, in
+   whatever document, is a span of kind ``term``, with the highest disclosure
+   of any entity.  ``sanitise`` puts a class in place of base spans, generalises
+   terms above ``DISCLOSURE`` and removes those at or above ``REMOVAL``.
 
 Counts are aggregated before they are shuffled, so a value or a word that a
-third of all documents hold costs a row per task.
+third of all documents hold costs a row per task.  Places are looked for in the
+documents that hold a disclosing term, and kept for such terms alone.
 
 Edge cases: a null or empty text has no spans; repeated rows and ids are
 documents of their own; an entity in every document discloses nothing (its
@@ -36,16 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm.common import materialize
+from likeness.session import bounded_broadcast
 
-WINDOW = 80                    # characters on either side of a mention
 SUPPORT = 3                    # documents a term and an entity must share
 DISCLOSURE, REMOVAL = 0.8, 0.98
+LISTED = 100_000               # terms, and entities, whose counts are broadcast
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _HOST = "[A-Za-z0-9-]"
 _OCTET = "0*([0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
-_WORD = r"(?<=[^\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,}(?=[^\p{L}\p{N}])"
+_WORD = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,}"
 
 # A dot outside a host name becomes "%", which is in no host name but, like the
 # dot, in the part before "@"; a separator not between two digits ends a card.
@@ -108,67 +109,101 @@ def base_spans(text: Column) -> dict[str, Column]:
             for k in KINDS}
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """(entity, term, start, end) of the words around each mention.  A space is
-    put around the text; a word cut by a window's edge is none."""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
+def _uncovered(text: Column, spans: Column) -> Column:
+    """``text`` with a space in place of every character in ``spans``."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def put(state, span):
+        low, high = F.greatest(state["at"], span["start"]), F.greatest(state["at"], span["end"])
+        return F.struct(high.alias("at"), F.concat(state["parts"], F.array(
+            F.substring(text, state["at"] + 1, low - state["at"]), F.repeat(F.lit(" "), high - low))).alias("parts"))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, start, put, lambda s: F.concat(
+        F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text)))))
 
-    def around(span):
-        low = F.greatest(F.lit(0), span["start"] - WINDOW)
-        before = F.substring(padded, low + 1, span["start"] - low + 2)
-        after = F.substring(padded, span["end"] + 1, F.lit(WINDOW + 2))
 
-        def named(found, offset):
-            return F.transform(found, lambda w: F.struct(
-                span["entity"].alias("entity"), F.lower(w["value"]).alias("term"),
-                (w["start"] + offset - 1).alias("start"), (w["end"] + offset - 1).alias("end")))
-        return F.concat(named(located(before, _WORD), low), named(located(after, _WORD), span["end"]))
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text without its base spans."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
 
-    words = F.flatten(F.transform(spans, around))
-    free = F.filter(words, lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"])))
-    return F.array_distinct(free)
+
+def _occurrences(text: Column, rated: Column) -> Column:
+    """(start, end, disclosure) of every occurrence of the terms in the map
+    ``rated``, in order; code points."""
+    pieces = F.arrays_zip(F.split(text, _WORD, -1).alias("gap"),
+                          F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("hit"))
+    places = "array<struct<start:int,end:int,disclosure:double>>"
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(places).alias("found"))
+
+    def step(state, piece):
+        start = state["at"] + F.length(piece["gap"])
+        end = start + F.coalesce(F.length(piece["hit"]), F.lit(0))
+        share = F.try_element_at(rated, F.lower(piece["hit"]))
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), share.alias("disclosure")))
+        return F.struct(end.alias("at"), F.when(share.isNotNull(), F.concat(state["found"], one))
+                        .otherwise(state["found"]).alias("found"))
+    return F.aggregate(pieces, nothing, step, lambda s: s["found"])
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, kept: list[str]) -> DataFrame:
-    """Per row: ``uid``, base spans by kind, context words, and ``kept`` columns.
-    Written once, which fixes ``uid``."""
+    """Per row: ``uid``, base spans by kind, entities, the text without base
+    spans, and ``kept`` columns.  Written once, which fixes ``uid``."""
     own = docs.select(F.col(f"`{id_col}`").alias("__id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"),
                       F.struct(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("__end")).alias("__row"))
     each = own.select("*", *(v.alias(f"__{k}") for k, v in base_spans(F.col("__text")).items()))
 
     def entities(kind):
-        return F.transform(f"__{kind}", lambda s: F.struct(
-            F.concat(F.lit(f"{kind}:"), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
+        return F.transform(f"__{kind}", lambda s: F.concat(F.lit(f"{kind}:"), F.lower(s["value"])))
 
     def places(kind):
         return F.transform(f"__{kind}", lambda s: F.struct(
             F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
-    protected, spans = F.concat(*map(entities, KINDS)), F.concat(*map(places, KINDS))
-    out = each.withColumn("__protected", protected)
+    out = each.withColumn("__spans", F.concat(*map(places, KINDS)))
     return materialize(out.select(
-        F.monotonically_increasing_id().alias("__uid"), "__id", "__row", spans.alias("__spans"),
-        F.when(F.size("__protected") > 0, _context(F.col("__text"), F.col("__protected"))).alias("__context"),
-        F.array_distinct(F.transform("__protected", lambda s: s["entity"])).alias("__entities")), "private-spans")
-
-
-def disclosing_terms(found: DataFrame, texts: DataFrame, disclosure: float = DISCLOSURE,
-                     support: int = SUPPORT) -> DataFrame:
+        F.monotonically_increasing_id().alias("__uid"), "__id", "__row", "__spans",
+        _uncovered(F.col("__text"), F.col("__spans")).alias("__plain"),
+        F.array_distinct(F.concat(*map(entities, KINDS))).alias("__entities")), "private-spans")
+
+
+def _frequent(counts: DataFrame, key: str, number: str) -> tuple[DataFrame, int]:
+    """The rows of the highest counts, by whole powers of two and at most
+    ``LISTED`` of them, to be broadcast; and a bound that no other row exceeds."""
+    power = F.floor(F.log2(F.col(number))).cast("int")
+    levels = counts.groupBy(power.alias("p")).count().orderBy(F.desc("p")).collect()      # at most 63 rows
+    total, low = 0, levels[0]["p"] + 1 if levels else 0
+    for level in levels:
+        total += level["count"]
+        if total > LISTED:
+            break
+        low = level["p"]
+    return F.broadcast(counts.where(F.col(number) >= F.lit(2 ** low)).select(key, number)), 2 ** low - 1
+
+
+def disclosing_terms(found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of the pairs from ``disclosure`` on; counts
-    run over all documents.  ``texts``: one column, ``text``."""
+    run over all documents.
+
+    As df(t, e) is at most df(e), a term reaches ``disclosure`` only if df(t) is
+    at most df(e)^disclosure N^(1 - disclosure).  Pairs that cannot, by the
+    counts of the most frequent terms and entities, are not shuffled."""
     count = F.count(F.lit(1))
-    both = (found.where(F.size("__context") > 0)
-            .select(F.explode(F.array_distinct(F.transform("__context", lambda w: F.struct(
-                w["entity"].alias("entity"), w["term"].alias("term"))))).alias("p"))
-            .groupBy("p.entity", "p.term").agg(count.alias("both")).where(F.col("both") >= support))
-    both = materialize(both, "term-entity-counts")
-    entities = found.select(F.explode("__entities").alias("entity")).groupBy("entity").agg(count.alias("with_entity"))
-    padded = F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))
-    asked = both.select("term").distinct()
-    terms = (texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(padded), F.lit(_WORD), F.lit(0)))).alias("term"))
-             .groupBy("term").agg(count.alias("with_term")).join(asked, "term", "left_semi"))
-    total = found.count()
-    n = F.lit(float(max(1, total)))
+    words = _terms(F.col("__plain"))
+    total = float(max(1, found.count()))
+    entities = materialize(found.select(F.explode("__entities").alias("entity")).groupBy("entity")
+                           .agg(count.alias("with_entity")), "entity-counts")
+    terms = materialize(found.select(F.explode(words).alias("term")).groupBy("term")
+                        .agg(count.alias("with_term")), "term-counts")
+    common_entities, rest = _frequent(entities, "entity", "with_entity")
+    common_terms, _ = _frequent(terms, "term", "with_term")
+    most = F.pow(F.coalesce("with_entity", F.lit(rest)).cast("double"), F.lit(disclosure)) * total ** (1 - disclosure)
+    pairs = (found.where(F.size("__entities") > 0).select("__entities", words.alias("__terms"))
+             .select(F.explode("__entities").alias("entity"), "__terms").join(common_entities, "entity", "left")
+             .select("entity", (most * (1 + 1e-9)).alias("__most"), F.explode("__terms").alias("term"))
+             .join(common_terms, "term", "left").where("with_term is null or with_term <= __most"))
+    both = materialize(pairs.groupBy("entity", "term").agg(count.alias("both")).where(F.col("both") >= support),
+                       "term-entity-counts")
+    n = F.lit(total)
     content = F.log(n / F.col("with_entity"))
     shared = F.log(n * F.col("both") / (F.col("with_term") * F.col("with_entity")))
     rated = both.join(entities, "entity").join(terms, "term").where(content > 0)
@@ -181,18 +216,17 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and disclosure (null for base kinds): base kinds as listed, then terms,
     each by start."""
     found = _found(docs, id_col, text_col, list(kept))
-    revealing = materialize(disclosing_terms(found, docs.select(F.col(f"`{text_col}`").alias("text")),
-                                             disclosure, support), "disclosing-terms")
-    words = found.where(F.size("__context") > 0).select("__uid", F.explode("__context").alias("w")).select("__uid", "w.*")
-    hits = (words.join(revealing, ["entity", "term"]).groupBy("__uid", "start", "end")
-            .agg(F.max("disclosure").alias("disclosure")))
-    terms = hits.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct(
-        "start", "end", "disclosure"))).alias("__terms"))      # words near one document's own mentions
+    revealing = materialize(disclosing_terms(found, disclosure, support).groupBy("term")
+                            .agg(F.max("disclosure").alias("disclosure")), "disclosing-terms")
+    rated = (found.select("__uid", F.explode(_terms(F.col("__plain"))).alias("term"))
+             .join(bounded_broadcast(revealing), "term").groupBy("__uid")
+             .agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("__rated")))  # one document's terms
     span = "array<struct<kind:string,start:int,end:int,disclosure:double>>"
     base = F.transform("__spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit(None).cast("double"))).cast(span)
-    more = F.transform("__terms", lambda s: F.struct(F.lit("term"), s["start"], s["end"], s["disclosure"])).cast(span)
-    return found.join(terms, "__uid", "left").select(
-        "__id", "__row", F.concat(base, F.coalesce(more, F.array().cast(span))).alias("spans"))
+    places = _occurrences(F.col("__plain"), F.col("__rated"))
+    more = F.when(F.col("__rated").isNotNull(), F.transform(places, lambda s: F.struct(
+        F.lit("term"), s["start"], s["end"], s["disclosure"])).cast(span)).otherwise(F.array().cast(span))
+    return found.join(rated, "__uid", "left").select("__id", "__row", F.concat(base, more).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:

@@ -77,3 +77,22 @@ def test_nulls_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = pt.q_private(docs(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_a_term_is_counted_and_marked_in_whole_documents(spark):
+    far = "about this and that " * 20
+    rows = [f"zeb@mail.org {far} Zebulon {far} Zebulon" for _ in range(4)] + ["a note on Zebulon alone"] + [far] * 60
+    out = {r.doc_id: r.spans.split(",") for r in pt.q_private(docs(spark, rows)).collect()}
+    for i in range(5):
+        want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("Zebulon", rows[i])}
+        assert want <= set(out[i])
+    clean = {r.doc_id: r.text for r in pt.sanitise(docs(spark, rows)).collect()}
+    assert not any("Zebulon" in clean[i] for i in range(5)) and clean[9] == far
+
+
+def test_leaving_out_hopeless_pairs_loses_no_term(spark, monkeypatch):
+    d = table(spark, SF_ORACLE, "documents")
+    found = pt._found(d, "doc_id", "text", [])
+    want = {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found, support=1).collect()}
+    monkeypatch.setattr(pt, "LISTED", 0)        # nothing is listed: every pair is counted
+    assert want and want == {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found, support=1).collect()}
