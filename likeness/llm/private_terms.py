@@ -15,9 +15,10 @@ Everything is DataFrame functions: no Python runs on rows.
    share of the entity's information content,
        log(N df(t, e) / (df(t) df(e))) / log(N / df(e)),
    1 for a term seen with that entity alone, and 0 for an independent one.  From
-   ``SUPPORT`` documents and ``DISCLOSURE`` on, every occurrence of the term, in
-   whatever document, is a span of kind ``term``, with the highest disclosure
-   of any entity.  ``sanitise`` puts a class in place of base spans, generalises
+   ``DISCLOSURE`` on, every occurrence of the term, in whatever document, is a
+   span of kind ``term``, with the highest disclosure of any entity.  No number
+   of shared documents is asked for: an entity of a single document is disclosed
+   by each word that few other documents hold.  ``sanitise`` puts a class in place of base spans, generalises
    terms above ``DISCLOSURE`` and removes those at or above ``REMOVAL``.
 
 Counts are aggregated before they are shuffled, so a value or a word that a
@@ -38,7 +39,6 @@ from pyspark.sql import functions as F
 from likeness.llm.common import materialize
 from likeness.session import bounded_broadcast
 
-SUPPORT = 3                    # documents a term and an entity must share
 DISCLOSURE, REMOVAL = 0.8, 0.98
 LISTED = 100_000               # terms, and entities, whose counts are broadcast
 KINDS = ("email", "ip", "card", "phone")
@@ -46,7 +46,7 @@ KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "[A-Za-z0-9._%+-]"
 _HOST = "[A-Za-z0-9-]"
 _OCTET = "0*([0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
-_WORD = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,}"
+_WORD = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*"
 
 # A dot outside a host name becomes "%", which is in no host name but, like the
 # dot, in the part before "@"; a separator not between two digits ends a card.
@@ -180,7 +180,7 @@ def _frequent(counts: DataFrame, key: str, number: str) -> tuple[DataFrame, int]
     return F.broadcast(counts.where(F.col(number) >= F.lit(2 ** low)).select(key, number)), 2 ** low - 1
 
 
-def disclosing_terms(found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def disclosing_terms(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, disclosure) of the pairs from ``disclosure`` on; counts
     run over all documents.
 
@@ -201,7 +201,7 @@ def disclosing_terms(found: DataFrame, disclosure: float = DISCLOSURE, support:
              .select(F.explode("__entities").alias("entity"), "__terms").join(common_entities, "entity", "left")
              .select("entity", (most * (1 + 1e-9)).alias("__most"), F.explode("__terms").alias("term"))
              .join(common_terms, "term", "left").where("with_term is null or with_term <= __most"))
-    both = materialize(pairs.groupBy("entity", "term").agg(count.alias("both")).where(F.col("both") >= support),
+    both = materialize(pairs.groupBy("entity", "term").agg(count.alias("both")),
                        "term-entity-counts")
     n = F.lit(total)
     content = F.log(n / F.col("with_entity"))
@@ -211,12 +211,12 @@ def disclosing_terms(found: DataFrame, disclosure: float = DISCLOSURE, support:
 
 
 def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept: tuple[str, ...] = (),
-                  disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+                  disclosure: float = DISCLOSURE) -> DataFrame:
     """(__id, __row, spans) per row of ``docs``; ``spans`` holds kind, start, end
     and disclosure (null for base kinds): base kinds as listed, then terms,
     each by start."""
     found = _found(docs, id_col, text_col, list(kept))
-    revealing = materialize(disclosing_terms(found, disclosure, support).groupBy("term")
+    revealing = materialize(disclosing_terms(found, disclosure).groupBy("term")
                             .agg(F.max("disclosure").alias("disclosure")), "disclosing-terms")
     rated = (found.select("__uid", F.explode(_terms(F.col("__plain"))).alias("term"))
              .join(bounded_broadcast(revealing), "term").groupBy("__uid")
@@ -249,10 +249,10 @@ def q_private(docs: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE,
-             removal: float = REMOVAL, support: int = SUPPORT) -> DataFrame:
+             removal: float = REMOVAL) -> DataFrame:
     """``docs`` with classes in place of personal data, terms that disclose it
     generalised, and those at or above ``removal`` taken out."""
-    out = private_spans(docs, id_col, text_col, tuple(docs.columns), disclosure, support)
+    out = private_spans(docs, id_col, text_col, tuple(docs.columns), disclosure)
     text = F.col(f"__row.`{text_col}`")
 
     def put(state, span):

@@ -93,6 +93,17 @@ def test_a_term_is_counted_and_marked_in_whole_documents(spark):
 def test_leaving_out_hopeless_pairs_loses_no_term(spark, monkeypatch):
     d = table(spark, SF_ORACLE, "documents")
     found = pt._found(d, "doc_id", "text", [])
-    want = {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found, support=1).collect()}
+    want = {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found).collect()}
     monkeypatch.setattr(pt, "LISTED", 0)        # nothing is listed: every pair is counted
-    assert want and want == {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found, support=1).collect()}
+    assert want and want == {(r.entity, r.term): r.disclosure for r in pt.disclosing_terms(found).collect()}
+
+
+def test_entities_of_one_or_two_documents_disclose(spark):
+    names = ["Zebulon", "Wu", "7Q41", "नमिता"]
+    rows = [f"report of {name} to p{k}x@mail.org about the week" for k, name in enumerate(names)]
+    rows += [rows[0] + " again", "notes on Wu"] + ["report of all to all about the week again notes on 12"] * 40
+    out = {r.doc_id: r.spans.split(",") for r in pt.q_private(docs(spark, rows)).collect()}
+    for i, name in [(0, "Zebulon"), (1, "Wu"), (2, "7Q41"), (3, "नमिता"), (4, "Zebulon"), (5, "Wu")]:
+        at = rows[i].index(name)
+        assert [s for s in out[i] if s.startswith("term")] == [f"term:{at}:{at + len(name)}"]
+    assert all(out[i] == [""] for i in range(6, 46))
