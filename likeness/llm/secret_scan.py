@@ -48,6 +48,11 @@ def _any_case(word: str) -> str:
 
 _KEYS = "|".join(map(_any_case, ("password", "passwd", "secret", "token"))) + "|" + _any_case("api") + "_?" + _any_case("key")
 
+# A key runs to its END line, whatever stands between; without one, over the
+# base64 lines that follow, of which there may be none.
+_PEM = r"(?:[A-Z]+ )*PRIVATE KEY-----"
+_PEM_LINES = r"(?:(?:\s|\\[nr])*[A-Za-z0-9+/]{16,}={0,2})*"
+
 # The three base rules, then the rules of this operator.
 BASE = (
     Rule("assign", rf"({_KEYS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", value=2, least=6),
@@ -55,7 +60,7 @@ BASE = (
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),
 )
 EXTRA = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", rf"-----BEGIN {_PEM}(?:[^-]*+(?:-(?!----)[^-]*+)*+-{{5,}}END {_PEM}|{_PEM_LINES})"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),

@@ -73,3 +73,21 @@ def test_redaction_keeps_columns_and_nulls(spark):
 
 def test_empty_table(spark):
     assert ss.q_secrets(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_nothing_of_a_key_is_left(spark):
+    import base64
+    import random
+    raw = base64.b64encode(random.Random(1).randbytes(1200)).decode()
+    lines = [raw[i:i + 64] for i in range(0, len(raw), 64)]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    info = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", ""]
+    whole = [sep.join([head, *more, *lines, end]) for sep in ("\n", "\r\n", "\\n", "\n    ") for more in ([], info)]
+    cut = ["\n".join([head, *lines])]                       # the END line is missing
+    texts = [f"before {key}\nafter" for key in whole + cut]
+    out = {r.doc_id: r.text for r in ss.redact_secrets(docs(spark, texts)).collect()}
+    assert all(out[i] == "before [SECRET]\nafter" for i in range(len(texts)))
+    two = docs(spark, [f"{whole[0]} between {whole[0]}", f"{head} alone", f"{head} {whole[0]} x"])
+    kept = {r.doc_id: r.text for r in ss.redact_secrets(two).collect()}
+    assert kept[0] == "[SECRET] between [SECRET]" and kept[1] == "[SECRET] alone" and kept[2] == "[SECRET] [SECRET] x"
+    assert ss.trigram_query(next(r.pattern for r in ss.RULES if r.kind == "pem")) != ss.ALL
