@@ -124,7 +124,10 @@ RESULT = T.StructType([
     T.StructField("turn_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
     T.StructField("loss_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
     T.StructField("rewritten_at", T.LongType()),
+    T.StructField("samples", T.ArrayType(T.StructType([
+        T.StructField("output", T.StringType()), T.StructField("loss_start", T.LongType()), T.StructField("loss_end", T.LongType())]))),
 ])
+SAMPLE_CHARS = 8 << 20            # of one written batch: samples are longer than their turns
 
 
 def _turns(rows: DataFrame) -> DataFrame:
@@ -138,21 +141,35 @@ def _turns(rows: DataFrame) -> DataFrame:
 
 def format_conversations(rows: DataFrame, template: Callable = marked_turns,
                          learn_from: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """(conv_id, formatted, turn_spans, loss_spans, rewritten_at) per
+    """(conv_id, formatted, turn_spans, loss_spans, rewritten_at, samples) per
     conversation of ``rows`` (conv_id, turn, role, text); spans in code points,
-    ends exclusive; ``rewritten_at`` is -1 or the turn that rewrites history."""
+    ends exclusive; ``rewritten_at`` is -1 or the turn that rewrites history.
+    With rewriting, ``samples`` has (output, loss_start, loss_end) per turn to
+    learn from and the two lists of spans are empty; else it is empty."""
+    most = SAMPLE_CHARS
+
     def run(batches):
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        sample = pa.list_(pa.struct([("output", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64())]))
+        kinds = [pa.int64(), pa.string(), span, span, pa.int64(), sample]
+
+        def written(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds)], RESULT.names)
+
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out, chars = [[] for _ in kinds], 0
             for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got = render([(t["role"], t["text"]) for t in turns], template, learn_from)
                 row = (conv, got.output, [{"start": a, "end": b} for a, b in got.spans],
-                       [{"start": a, "end": b} for a, b in got.loss], got.rewritten)
+                       [{"start": a, "end": b} for a, b in got.loss], got.rewritten,
+                       [{"output": o, "loss_start": a, "loss_end": b} for o, a, b in got.samples])
                 for column, value in zip(out, row):
                     column.append(value)
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = [pa.int64(), pa.string(), span, span, pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds)], RESULT.names)
+                chars += sum(len(o) for o, *_ in got.samples)
+                if chars > most:
+                    yield written(out)
+                    out, chars = [[] for _ in kinds], 0
+            yield written(out)
 
     return _turns(rows).mapInArrow(run, RESULT)
 

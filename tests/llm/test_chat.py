@@ -51,3 +51,21 @@ def test_whole_table_equals_sql(spark):
     cur = con.execute(chat.Q_CHAT_SQL)
     names = [c[0] for c in cur.description]
     assert {tuple(r[n] for n in names) for r in chat.q_chat(table(spark, SF_ORACLE, "conversations")).collect()} == set(cur.fetchall())
+
+
+def test_samples_of_a_rewriting_template_are_in_the_table(spark, monkeypatch):
+    def last_only(messages):   # drops earlier answers
+        return "".join(f"<{r}>{t}" for r, t in messages[:-1] if r != "assistant") + "".join(
+            f"<{r}>{t}" for r, t in messages[-1:])
+    said = [("user", "a"), ("assistant", "b🙂"), ("user", "c"), ("assistant", "d")]
+    rows = [(conv, k, role, text) for conv in range(5) for k, (role, text) in enumerate(said)] + [(9, 0, "user", "x")]
+    d = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    for limit in (chat.SAMPLE_CHARS, 1):
+        monkeypatch.setattr(chat, "SAMPLE_CHARS", limit)
+        out = {r.conv_id: r for r in chat.format_conversations(d, last_only).collect()}
+        assert set(out) == {0, 1, 2, 3, 4, 9} and out[9].samples == [] and out[9].rewritten_at == -1
+        for conv in range(5):
+            assert out[conv].rewritten_at == 2 and not out[conv].loss_spans
+            got = [(s.output, s.output[s.loss_start:s.loss_end]) for s in out[conv].samples]
+            assert got == [("<user>a<assistant>b🙂", "<assistant>b🙂"), ("<user>a<user>c<assistant>d", "<assistant>d")]
+    assert all(r.samples == [] for r in chat.format_conversations(d).collect())
