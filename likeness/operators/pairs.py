@@ -82,6 +82,14 @@ def correlation(common: DataFrame, pairs: DataFrame, keys: list[str] = PAIR_KEYS
         .alias("constant_items"))
 
 
+def noted_ratings(common: DataFrame, corr: DataFrame, keys: list[str] = PAIR_KEYS) -> DataFrame:
+    """A10 + A11 in full: (keys..., status, perfect_corr, item, r1, r2), every
+    common item of the pairs with a constant side or a perfect correlation."""
+    noted = corr.where(F.col("status").startswith("constant") | F.col("perfect_corr"))
+    return (common.join(noted.select(*keys, "status", "perfect_corr"), keys)
+            .select(*keys, "status", "perfect_corr", "item", "r1", "r2"))
+
+
 def mean_correlation(corr: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(by..., n_pairs, avg_corr) over pairs with status ok."""
     ok = corr.where(F.col("status") == "ok")

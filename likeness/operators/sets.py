@@ -5,7 +5,7 @@ list is summarised instead - row count, set size, an order-free digest of the
 set and its smallest items - because one entity may hold a third of all
 rows, and a single row holding that list cannot exist.  Every column is a
 partial-then-final aggregate or a window with a group limit, so a hot entity
-is combined map-side.
+is combined map-side.  ``item_lists`` has the whole lists, in chunks.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from likeness.functions.hashing import element_hash
+from likeness.session import bounded_broadcast, materialize
 
 SAMPLE_SIZE = 10
+CHUNK_SIZE = 1000              # items of one row of a whole list, on average
 
 
 def first_items(df: DataFrame, entity: str, item: str, k: int = SAMPLE_SIZE,
@@ -47,6 +49,22 @@ def item_sets(df: DataFrame, entity: str = "user_id", item: str = "item_id") ->
                     "first_items"))
 
 
+def item_lists(df: DataFrame, entity: str = "user_id", item: str = "item_id",
+               size: int = CHUNK_SIZE) -> DataFrame:
+    """(user_id, chunk, items ARRAY, times ARRAY): every item of every entity,
+    ascending within a row, and the number of its rows.  An entity of n items
+    has ceil(n / size) chunks, and an item is in chunk element_hash mod that."""
+    per_item = materialize(df.where(F.col(entity).isNotNull()).groupBy(entity, item)
+                           .agg(F.count(F.lit(1)).alias("_c")), "item-counts")
+    large = (per_item.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+             .select(entity, F.ceil(F.col("_n") / size).alias("_k")))
+    chunk = F.coalesce(element_hash(F.col(item)) % F.col("_k"), F.lit(0)).cast("bigint")
+    return (per_item.join(bounded_broadcast(large), entity, "left")
+            .groupBy(F.col(entity).alias("user_id"), chunk.alias("chunk"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col(item).alias("i"), "_c"))).alias("_l"))
+            .select("user_id", "chunk", F.col("_l.i").alias("items"), F.col("_l._c").alias("times")))
+
+
 def audit(sets: DataFrame) -> DataFrame:
     """A2 over every row: ids unique, no entity without items."""
     return sets.agg(

@@ -5,6 +5,7 @@ compaction, per-pair expansion, plain windows)."""
 from __future__ import annotations
 
 from likeness.functions.hashing import MERSENNE_PRIME, NUM_BANDS, ROWS_PER_BAND, minhash_params
+from likeness.operators.sets import CHUNK_SIZE
 from likeness.operators.toppairs import THRESHOLDS, TOP_K
 
 
@@ -236,6 +237,13 @@ firsts AS (SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY ite
 SELECT p.user_id, sum(c)::BIGINT AS n_rows, count(*)::BIGINT AS n_items,
        sum({_h('item_id')})::BIGINT AS items_digest, f.first_items
 FROM per_item p JOIN firsts f USING (user_id) GROUP BY p.user_id, f.first_items"""
+    q["item_lists"] = "WITH " + RATINGS_RAW + f""",
+per_item AS (SELECT user_id, item_id, count(*) AS c FROM ratings_raw GROUP BY 1, 2),
+chunks AS (SELECT user_id, (count(*) + {CHUNK_SIZE - 1}) // {CHUNK_SIZE} AS k FROM per_item GROUP BY user_id)
+SELECT user_id, ({_h('item_id')} % k)::BIGINT AS chunk,
+       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items,
+       string_agg(CAST(c AS VARCHAR), ',' ORDER BY item_id) AS times
+FROM per_item JOIN chunks USING (user_id) GROUP BY 1, 2"""
     q["grouped_audit"] = "WITH " + RATINGS_RAW + """,
 g AS (SELECT user_id, count(DISTINCT item_id) AS n_items FROM ratings_raw GROUP BY user_id)
 SELECT count(DISTINCT user_id)::BIGINT AS unique_users, count(*)::BIGINT AS row_count,
@@ -280,6 +288,9 @@ SELECT id1, id2, n_common, status, round(CASE WHEN status = 'ok' THEN r_raw END,
        coalesce(status = 'ok' AND r_raw >= 1 - 1e-9, false) AS perfect_corr, identical_ratings,
        CASE WHEN status LIKE 'constant%' THEN items END AS constant_items
 FROM pc"""
+    q["pair_noted_ratings"] = pc + """
+SELECT id1, id2, status, coalesce(status = 'ok' AND r_raw >= 1 - 1e-9, false) AS perfect_corr, item, r1, r2
+FROM pc JOIN cmn USING (id1, id2) WHERE status LIKE 'constant%' OR (status = 'ok' AND r_raw >= 1 - 1e-9)"""
     q["avg_pair_correlation"] = pc + """
 SELECT count(*)::BIGINT AS n_pairs, round(avg(r_raw), 6) AS avg_corr FROM pc WHERE status = 'ok'"""
 

@@ -31,6 +31,12 @@ def q_grouped_items(spark, sf_dir):
     return sets.item_sets(tables.ratings_raw(spark, sf_dir), "user_id", "item_id")
 
 
+def q_item_lists(spark, sf_dir):
+    found = sets.item_lists(tables.ratings_raw(spark, sf_dir), "user_id", "item_id")
+    return found.select("user_id", "chunk", *(
+        F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("items", "times")))
+
+
 def q_grouped_audit(spark, sf_dir):
     return sets.audit(sets.item_sets(tables.ratings_raw(spark, sf_dir), "user_id", "item_id"))
 
@@ -62,6 +68,12 @@ def q_pair_correlation(spark, sf_dir):
     return _pair_corr(spark, sf_dir).withColumn("corr", F.round("corr", 6))
 
 
+def q_pair_noted_ratings(spark, sf_dir):
+    p = checked_pairs(spark, sf_dir)
+    common_rows = materialize(pairs.common_ratings(common.docs(spark, sf_dir), p), "common_ratings")
+    return pairs.noted_ratings(common_rows, pairs.correlation(common_rows, p))
+
+
 def q_avg_pair_correlation(spark, sf_dir):
     return pairs.mean_correlation(_pair_corr(spark, sf_dir)).withColumn(
         "avg_corr", F.round("avg_corr", 6))

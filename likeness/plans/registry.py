@@ -9,6 +9,7 @@ from likeness.plans import similarity as sim
 QUERIES = {
     # item sets
     "grouped_items": pr.q_grouped_items,
+    "item_lists": pr.q_item_lists,
     "grouped_audit": pr.q_grouped_audit,
     # similar entities
     "minhash_signatures": sim.q_minhash_signatures,
@@ -22,6 +23,7 @@ QUERIES = {
     "pair_validation": pr.q_pair_validation,
     "pair_common_ratings": pr.q_pair_common_ratings,
     "pair_correlation": pr.q_pair_correlation,
+    "pair_noted_ratings": pr.q_pair_noted_ratings,
     "avg_pair_correlation": pr.q_avg_pair_correlation,
     "eligible_users": pr.q_eligible_users,
     "random_pairs": pr.q_random_pairs,

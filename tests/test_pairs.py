@@ -78,3 +78,13 @@ def test_validation_exact_jaccard(spark):
     r = pairs.validate(inter, _pairs(spark, [(1, 2)])).collect()[0]
     assert r["common"] == 5 and r["jaccard"] == pytest.approx(5 / 15, abs=1e-6)
     assert r["sample1"] == "0,1,2,3,4,5,6,7,8,9"
+
+
+def test_noted_ratings_list_every_item(spark):
+    rows = [(1, i, 3.0) for i in range(30)] + [(2, i, float(i)) for i in range(30)]
+    rows += [(3, i, 2.0 * i) for i in range(30)] + [(4, i, float(i * i)) for i in range(30)]
+    p = _pairs(spark, [(1, 2), (2, 3), (2, 4)])
+    common = pairs.common_ratings(_inter(spark, rows), p)
+    out = sorted(map(tuple, pairs.noted_ratings(common, pairs.correlation(common, p)).collect()))
+    assert out == ([(1, 2, "constant_user1", False, i, 3.0, float(i)) for i in range(30)]
+                   + [(2, 3, "ok", True, i, float(i), 2.0 * i) for i in range(30)])

@@ -28,3 +28,14 @@ def test_audit_and_activity(spark):
     assert (a["unique_users"], a["row_count"], a["null_lists"], a["ok"]) == (2, 2, 0, True)
     act = {r["user_id"]: r["n_rows"] for r in sets.activity(df, "user_id", 1).collect()}
     assert act == {1: 2}
+
+
+def test_item_lists_hold_every_item(spark):
+    rows = [(1, 7), (1, 7), (1, 3), (None, 5)] + [(2, i) for i in range(500, 0, -1)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long").repartition(3)
+    out = sets.item_lists(df, size=20).collect()
+    assert [(r["chunk"], r["items"], r["times"]) for r in out if r["user_id"] == 1] == [(0, [3, 7], [1, 2])]
+    two = [r for r in out if r["user_id"] == 2]
+    assert len(two) > 20 and sorted(i for r in two for i in r["items"]) == list(range(1, 501))
+    assert all(r["items"] == sorted(r["items"]) and len(r["items"]) < 50 for r in two)
+    assert {r["user_id"] for r in out} == {1, 2}
