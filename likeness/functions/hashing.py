@@ -32,6 +32,13 @@ def seeded_hash(*parts) -> Column:
     return element_hash(F.concat_ws(":", *[c.cast("string") for c in cols]))
 
 
+def wide_seeded_hash(*parts) -> Column:
+    """60 bits in place of the 28 of ``seeded_hash``."""
+    cols = [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    text = F.concat_ws(":", *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def minhash_params(num_perm: int = NUM_PERM, seed: int = SEED) -> list[tuple[int, int]]:
     """(a, b) for each permutation, drawn in order from ``random.Random(seed)``:
     ``a`` in [1, p), ``b`` in [0, p)."""

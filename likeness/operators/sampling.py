@@ -7,7 +7,9 @@ Draw j of trial t over n eligible entities indexed 0..n-1 in id order::
     pair = (least(id[i1], id[i2]), greatest(...))
 
 The first draw of a pair counts and the ``k`` lowest draws of each trial are
-kept.  Every trial makes 20*k draws.  When few pairs exist (n(n-1)/2 <= 10*k)
+kept.  Every trial makes 20*k draws, and twice as many whenever a trial is left
+short of k pairs.  ``h`` has 28 bits, and 60 for more than 2^28 entities, which
+28 bits could not all reach.  When few pairs exist (n(n-1)/2 <= 10*k)
 draws could miss some, so all pairs are enumerated instead and ordered by
 ``h('seed:t:i:j:e')`` (ties by index); the first k (or all) are kept, with
 ``draw`` their position.
@@ -21,13 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from likeness.functions.hashing import SEED, seeded_hash
+from likeness.functions.hashing import SEED, seeded_hash, wide_seeded_hash
+from likeness.session import materialize
 
 # Trials, pairs per trial and the minimum activity of the
 # random control group.
 TRIALS = 20
 PAIRS_PER_TRIAL = 100
 MIN_RATINGS = 1
+HASHED = 1 << 28               # indices that the 28-bit hash can reach
 
 
 def dense_index(ids: DataFrame, id_col: str = "id") -> DataFrame:
@@ -52,8 +56,9 @@ def draws(spark, n: int, trials: int = TRIALS, per_trial: int = 20 * PAIRS_PER_T
     trial = (F.col("id") / per_trial).cast("bigint")
     j = F.col("id") % per_trial
     base = r.select(trial.alias("trial"), j.alias("draw"))
-    i1 = seeded_hash(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("a")) % F.lit(n)
-    i2 = seeded_hash(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("b")) % F.lit(n - 1)
+    h = seeded_hash if n <= HASHED else wide_seeded_hash
+    i1 = h(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("a")) % F.lit(n)
+    i2 = h(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("b")) % F.lit(n - 1)
     return (base.withColumn("i1", i1).withColumn("_i2", i2)
             .withColumn("i2", F.when(F.col("_i2") >= F.col("i1"), F.col("_i2") + 1)
                         .otherwise(F.col("_i2")))
@@ -72,7 +77,17 @@ def random_pairs(eligible_ids: DataFrame, trials: int = TRIALS, k: int = PAIRS_P
         return spark.createDataFrame([], schema)
     if n * (n - 1) // 2 <= 10 * k:
         return _all_pairs(spark, index, n, trials, k, seed)
-    d = F.broadcast(draws(spark, n, trials, per_trial or 20 * k, seed))
+    per_trial = per_trial or 20 * k
+    while True:
+        found = materialize(_drawn(index, draws(spark, n, trials, per_trial, seed), k), "drawn-pairs")
+        if found.count() >= trials * k:            # more than 10 * k pairs exist
+            return found
+        per_trial *= 2
+
+
+def _drawn(index: DataFrame, drawn: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` distinct pairs of each trial."""
+    d = F.broadcast(drawn)
     a = index.select(F.col("idx").alias("i1"), F.col("id").alias("u1"))
     b = index.select(F.col("idx").alias("i2"), F.col("id").alias("u2"))
     pairs = (a.join(d, "i1").join(b, "i2")

@@ -45,3 +45,18 @@ def test_small_population_enumerates_every_pair(spark):
         assert len({(r["id1"], r["id2"]) for r in rows}) == 100
     full = sampling.random_pairs(ids, trials=1, k=200)
     assert full.count() == 105
+
+
+def test_short_trials_draw_again(spark):
+    ids = spark.range(50).select(F.col("id"))          # 1,225 pairs: drawn, not enumerated
+    few = sampling.random_pairs(ids, trials=3, k=100, per_trial=100)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, sampling.random_pairs(ids, trials=3, k=100).collect()))
+    assert few.count() == 300
+
+
+def test_every_index_of_a_large_table_can_be_drawn(spark):
+    n = 1 << 40
+    rows = sampling.draws(spark, n, trials=2, per_trial=500).collect()
+    for side in ("i1", "i2"):
+        at = [r[side] for r in rows]
+        assert all(0 <= i < n for i in at) and sum(i >= n // 2 for i in at) > 400
