@@ -14,7 +14,8 @@ fewer than ``LEAST``) is reranked by the exact Euclidean distance.
 
 The pivots come from a sample of at most ``SAMPLE`` vectors with the smallest
 hashes (the only thing fitted, and of fixed size), each the farthest from those
-before it, so that a large group of near copies does not fill the prefixes.  Equal vectors are indexed once, with
+before it, so that a large group of near copies does not fill the prefixes.
+Vectors of each length have a sample, pivots and blocks of their own.  Equal vectors are indexed once, with
 the ``k + 1`` smallest ids, which is all that a list of ``k`` can hold of them;
 equal queries are searched once.  Rows and queries meet as (block of rows, block
 of queries), so a task holds one block of each whatever the table's size.
@@ -22,8 +23,8 @@ of queries), so a task holds one block of each whatever the table's size.
 ``SHARE`` 0.12 finds 0.95 of the true ten nearest among unclustered vectors of 64
 components, where neighbours are hardest to tell apart.
 
-Edge cases: vectors that are null, zero, hold null or non-finite components or
-have another length than the commonest take no part; repeated rows count once,
+Edge cases: vectors that are null, zero or hold null or non-finite components
+take no part, and the others meet those of their own length; repeated rows count once,
 an id repeated with another vector is a candidate per vector; ties go to the
 smaller id; with fewer candidates than asked all are returned; an empty table
 gives an empty result.
@@ -103,41 +104,52 @@ def nearest(rows: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vect
     spark = rows.sparkSession
     all_rows = written_vectors(rows, id_col, vector_col)
     by_vector = Window.partitionBy("vec").orderBy("id")
+    dim = F.size("vec").alias("dim")
     few = materialize(all_rows.withColumn("n", F.row_number().over(by_vector)).where(F.col("n") <= k + 1)
                       .withColumn("rep", F.min("id").over(Window.partitionBy("vec"))), "vector-groups")
-    reps = few.where("n = 1").select("id", "vec")
-    asked = materialize(all_rows.where(is_query).groupBy("vec").agg(F.min("id").alias("query")), "queries")
-    members = few.select("rep", "id", "vec")
-
-    sample = np.array([r.vec for r in reps.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(SAMPLE).collect()])
-    pivots = spread(sample, PIVOTS) if len(sample) else sample
-    blocks = max(1, math.ceil(reps.count() / ROWS))
-    parts = max(1, math.ceil(asked.count() / QUERIES))
-    block, part = (lambda col, n: F.pmod(F.xxhash64(col, F.lit(6)), F.lit(n)).cast("int"))(F.col("id"), blocks), F.pmod(
-        F.xxhash64("query", F.lit(7)), F.lit(parts)).cast("int")
-    left = reps.select(block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "id", "vec")
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), part.alias("part"), "query", "vec")
+    reps = few.where("n = 1").select("id", "vec", dim)
+    asked = materialize(all_rows.where(is_query).groupBy("vec").agg(F.min("id").alias("query")).withColumn("dim", dim), "queries")
+    members = few.select("rep", "id", dim)
+
+    by_hash = Window.partitionBy("dim").orderBy("h", "id")
+    taken = (reps.withColumn("h", F.xxhash64("id", F.lit(5))).withColumn("n", F.row_number().over(by_hash))
+             .where(F.col("n") <= SAMPLE).orderBy("dim", "n"))
+    sample: dict[int, list] = {}
+    for r in taken.select("dim", "vec").collect():           # SAMPLE rows per length
+        sample.setdefault(r.dim, []).append(r.vec)
+    pivots = {n: spread(np.array(v), PIVOTS) for n, v in sample.items()}
+    sizes = (reps.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / ROWS).cast("int").alias("blocks"))
+             .join(asked.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "dim"))
+    sizes = F.broadcast(materialize(sizes, "lengths"))       # one row per length
+    block = F.pmod(F.xxhash64("id", F.lit(6)), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("query", F.lit(7)), F.col("parts")).cast("int")
+    left = reps.join(sizes, "dim").select("dim", block.alias("block"), F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "vec")
+    right = asked.join(sizes, "dim").select("dim", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part.alias("part"), "query", "vec")
+    key = ["dim", "block", "part"]
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        out: list[list] = [[], [], []]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64())
+        out: list[list] = [[], [], [], []]
         if index.num_rows and queries.num_rows:
+            n = index.column("dim")[0].as_py()
             out = _search(index.column("id").to_numpy(), matrix(index.column("vec")), queries.column("query").to_pylist(),
-                          matrix(queries.column("vec")), pivots, k + 1, share)
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["query", "rep", "score"])
+                          matrix(queries.column("vec")), pivots[n], k + 1, share)
+            out = [[n] * len(out[0]), *out]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["dim", "query", "rep", "score"])
 
-    met = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(
-        run, "query long, rep long, score double")
-    by_query = Window.partitionBy("query").orderBy("score", "rep")
-    best = met.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= k + 1).select("query", "rep", "score")
+    met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "dim int, query long, rep long, score double")
+    by_query = Window.partitionBy("dim", "query").orderBy("score", "rep")
+    best = met.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= k + 1).select("dim", "query", "rep", "score")
     # an id with several vectors can be the first of several groups: the vector tells them apart by distance
-    wide = materialize(best.join(members.select("rep", F.col("id").alias("vec_id")), "rep")
-                       .groupBy("query", "vec_id").agg(F.min("score").alias("score")), "found")
-    ids = all_rows.where(is_query).join(asked, "vec").select("query", F.col("id").alias("query_id")).distinct()
+    wide = materialize(best.join(members.select("dim", "rep", F.col("id").alias("vec_id")), ["dim", "rep"])
+                       .groupBy("dim", "query", "vec_id").agg(F.min("score").alias("score")), "found")
+    ids = all_rows.where(is_query).join(asked, "vec").select("dim", "query", F.col("id").alias("query_id")).distinct()
     own = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    short = Window.partitionBy("query").orderBy("score", "vec_id")
+    short = Window.partitionBy("dim", "query").orderBy("score", "vec_id")
     lists = wide.withColumn("n", F.row_number().over(short)).where(F.col("n") <= k + 1).drop("n")
-    return (ids.join(lists, "query").where("query_id <> vec_id")
+    return (ids.join(lists, ["dim", "query"]).where("query_id <> vec_id")
             .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,21 +14,26 @@ from likeness.llm.common import materialize
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vec) of the rows that can be compared: an id, and a vector that is
     not null or zero and holds neither nulls nor non-finite numbers.  Vectors
-    are compared with others of the commonest length (ties: the shorter)."""
+    are compared with others of their own length."""
     vec = F.col(f"`{vector_col}`").cast("array<double>")
     big = float("inf")
-    good = (rows.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), vec.alias("vec"))
+    return (rows.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), vec.alias("vec"))
             .where("id is not null and vec is not null and size(vec) > 0")
             .where(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)))
             .where(F.exists("vec", lambda x: x != 0)))
-    length = good.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.where(F.size("vec") == (length.n if length else 0))
 
 
 def written_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return materialize(usable(rows, id_col, vector_col).distinct(), "vectors")
 
 
+def by_length(batch: pa.RecordBatch, column: str):
+    """The rows of each vector length in ``batch``."""
+    length = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    for n in np.unique(length):
+        yield batch if (length == n).all() else batch.take(pa.array(np.flatnonzero(length == n)))
+
+
 def matrix(column) -> np.ndarray:
     """Rows of a list column as a matrix of doubles."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -99,3 +99,26 @@ def test_decoded_points_are_the_nearest_of_the_lattice(scale):
         assert (((x - home - r) ** 2).sum(axis=1) >= far - 1e-9).all()
     other = lattice.next_nearest(x, home)
     assert (other != home).any(axis=1).mean() > 0.99
+
+
+def of_two_lengths():
+    """The shorter vectors are fewer; ids of the two kinds do not overlap."""
+    more = clustered(250)
+    fewer = [(5000 + i, v) for i, v in clustered(120, dim=8, seed=2)]
+    return more, fewer
+
+
+def test_nearest_of_every_length(spark):
+    more, fewer = of_two_lengths()
+    got = {}
+    for r in permutation_index.q_nearest(frame(spark, more + fewer)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert {q: [(v, s) for _, v, s in sorted(g)] for q, g in got.items()} == {**near_brute(more), **near_brute(fewer)}
+
+
+def test_links_of_every_length(spark):
+    more, fewer = of_two_lengths()
+    both = {r.vec_id: tuple(r) for r in lattice.near_vectors(frame(spark, more + fewer)).collect()}
+    alone = [{r.vec_id: tuple(r) for r in lattice.near_vectors(frame(spark, rows)).collect()} for rows in (more, fewer)]
+    assert both == {**alone[0], **alone[1]}
+    assert any(both[i][1] > 0 for i, _ in fewer)
