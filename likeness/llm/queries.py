@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from likeness.llm import (chat, language, lattice, packing, permutation_index, pieces, private_terms, quality,
-                          secret_scan)
+from likeness.llm import (chat, language, lattice, lexical_search, merkle, packing, permutation_index, pieces,
+                          private_terms, quality, secret_scan, token_counts)
 from likeness.llm import near_duplicates as near
 from likeness.llm.common import table
 
@@ -51,6 +51,18 @@ def op10_near_vectors(spark, sf_dir):
     return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle(spark, sf_dir):
+    return merkle.q_merkle(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_lexical(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_nearest": op2_nearest,
@@ -62,6 +74,13 @@ QUERIES = {
     "op8_private": op8_private,
     "op9_language": op9_language,
     "op10_near_vectors": op10_near_vectors,
+    "op11_merkle": op11_merkle,
+    "op12_token_counts": op12_token_counts,
+    "op13_lexical": op13_lexical,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_chat": chat.Q_CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat": chat.Q_CHAT_SQL,
+    "op11_merkle": merkle.Q_MERKLE_SQL,
+    "op13_lexical": lexical_search.Q_LEXICAL_SQL,
+}
