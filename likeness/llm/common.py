@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from likeness.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["add_columns", "arrow_map", "bounded_batches", "materialize", "table", "text_id"]
+__all__ = ["add_columns", "arrow_map", "bounded_batches", "fresh", "materialize", "table", "text_id"]
 
 # Rows and bytes of one Arrow batch handed to a Python worker: whole texts are
 # long, so the default of 10,000 rows would not bound a worker's memory.
@@ -36,6 +36,14 @@ def text_id(col) -> F.Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with a function from one batch to batches of ``schema``."""
     def run(batches):
@@ -57,7 +65,7 @@ def add_columns(df: DataFrame, fields: list[T.StructField], make, text_col: str
     kept = [c for c in df.columns if c.lower() not in added]
     names = [*kept, *(f.name for f in fields)]
     schema = T.StructType([*(df.schema[c] for c in kept), *fields])
-    hidden = "__whole_text"
+    hidden = fresh(df, "whole_text")
 
     def run(batch):
         made = make(batch.column(hidden).to_pylist())

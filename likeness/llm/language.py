@@ -8,9 +8,11 @@ of ``HASHES`` slots) returns all languages containing an n-gram.  A language's
 popcount over the whole text, corrected for its filter's false-positive rate,
 is its evidence; the largest decides, ties go to the smaller name.
 
-Learning uses, per language, the ``SAMPLE`` smallest hashes among labelled rows
-of at most ``SAMPLE_BYTES`` that are not held out (a documented bound: a
-language that holds a third of all rows is cut to the same size).  Each
+Learning uses, per language, the ``SAMPLE`` smallest hashes among the distinct
+labelled rows of at most ``SAMPLE_BYTES`` that are not held out (a documented
+bound: a language that holds a third of all rows is cut to the same size, and
+repeats of one row count once).  At most ``MAX_LANGS`` languages are learned;
+more raise ``ValueError``.  Each
 language's n-grams are counted by documents in its own group; at most
 ``NGRAMS`` per language are kept, so the filters' size is bounded by the number
 of languages.  Prediction is map-only.
@@ -31,14 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from likeness.llm.common import add_columns, text_id
+from likeness.llm.common import add_columns, fresh, materialize, text_id
 
 N = 4                               # code points of an n-gram, boundary included
 HASHES, SLOTS = 2, 1 << 20          # a slot holds one bit per language
+SLICE = 1 << 17                     # characters looked up at once
 SAMPLE, SAMPLE_BYTES = 1000, 1 << 15
+MAX_LANGS = 512                     # filters are sent to every task: 320 KB a language to learn, 128 KB to look up
 NGRAMS, SHARE = 40_000, 0.02        # per language: most n-grams kept; least share of its documents
 HELD_OUT, HELD = 4, 2               # held out: crc32 of the id as text modulo 4 is 2
 UNKNOWN = "und"
+HEARD, MARGIN, FEW = 0.2, 4.0, 24   # see Filters.speaks
 
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -56,17 +61,57 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     doc = np.repeat(np.arange(len(data) + 1), np.r_[1, size])[keep]      # a boundary belongs to the text before it
     lettered = np.bincount(doc, letter[keep], len(data) + 1)[1:] > 0
     kept = np.where(letter[keep], points[keep], 0).astype(np.uint64)
+    h = _hashes(kept)
+    if not len(h):
+        return h, np.zeros(len(data), np.int64), lettered
+    # the n-gram's letters belong to one text: that of its last place
+    own = doc[N - 1:]
+    whole = (doc[1:1 + len(h)] == own) & (own > 0)
+    return h[whole], np.bincount(own[whole] - 1, minlength=len(data))[:len(data)], lettered
+
+
+def _slices(texts: list[str | None]):
+    """(numbers of the texts, n-gram hashes, n-grams per text, letters) a slice of
+    about ``SLICE`` characters at a time: small texts together, a long one in
+    parts that carry their last N - 1 places over."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        if len(text or "") > SLICE:
+            yield from _parts(i, text)
+            continue
+        held.append(i)
+        size += len(text or "")
+        if size >= SLICE:
+            yield np.array(held), *ngrams([texts[k] for k in held])
+            held, size = [], 0
+    if held:
+        yield np.array(held), *ngrams([texts[k] for k in held])
+
+
+def _parts(i: int, text: str):
+    text = text.lower()
+    carry, before, at = np.zeros(1, np.uint64), False, 0      # the boundary in front
+    while at <= len(text):
+        part = text[at:at + SLICE] + ("\0" if at + SLICE >= len(text) else "")
+        at += SLICE if at + SLICE < len(text) else len(text) + 1
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = _LETTER[points]
+        keep = letter | np.r_[before, letter[:-1]]
+        kept = np.concatenate([carry, np.where(letter, points, 0)[keep].astype(np.uint64)])
+        carry, before = kept[-(N - 1):], bool(letter[-1])
+        h = _hashes(kept)
+        yield np.array([i]), h, np.array([len(h)]), np.array([letter.any()])
+
+
+def _hashes(kept: np.ndarray) -> np.ndarray:
+    """The hash of every run of N places."""
     if len(kept) < N:
-        return np.zeros(0, np.uint64), np.zeros(len(data), np.int64), lettered
+        return np.zeros(0, np.uint64)
     h = np.zeros(len(kept) - N + 1, np.uint64)
     for k in range(N):
         h += (kept[k:k + len(h)] + np.uint64(k + 1)) * _FACTORS[k]
     h = (h ^ (h >> np.uint64(29))) * _FACTORS[4]
-    # the n-gram's letters belong to one text: that of its last place
-    own = doc[N - 1:]
-    whole = (doc[1:1 + len(h)] == own) & (own > 0)
-    return h[whole] ^ (h[whole] >> np.uint64(32)), np.bincount(
-        own[whole] - 1, minlength=len(data))[:len(data)], lettered
+    return h ^ (h >> np.uint64(32))
 
 
 def _places(h: np.ndarray) -> list[np.ndarray]:
@@ -98,24 +143,46 @@ class Filters:
         fill = [np.mean((self.words[i // 64] >> np.uint64(i % 64)) & np.uint64(1)) for i in range(len(self.langs))]
         return np.array(fill) ** HASHES
 
+    def popcounts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(n-grams of each text that each language's filter passes, n-grams of
+        each text, whether it has letters), in slices of bounded memory."""
+        out = np.zeros((len(texts), len(self.langs)))
+        number, lettered = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+        for own, h, count, has in _slices(texts):
+            lettered[own] |= has
+            number[own] += count
+            full = np.flatnonzero(count)
+            if not len(full):
+                continue
+            first = (np.cumsum(count) - count)[full]
+            at = _places(h)
+            for w, slots in enumerate(self.words):
+                mask = slots[at[0]]
+                for more in at[1:]:
+                    mask &= slots[more]
+                for i in range(64 * w, min(64 * w + 64, len(self.langs))):
+                    bit = ((mask >> np.uint64(i % 64)) & np.uint64(1)).astype(np.int64)
+                    out[own[full], i] += np.add.reduceat(bit, first)
+        return out, number, lettered
+
     def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(corrected popcounts per text and language, whether it has letters)."""
-        h, count, lettered = ngrams(texts)
-        out = np.zeros((len(texts), len(self.langs)))
-        if not len(h):
-            return out, lettered
-        full = np.flatnonzero(count)
-        first = (np.cumsum(count) - count)[full]
-        at = _places(h)
-        for w, slots in enumerate(self.words):
-            mask = slots[at[0]]
-            for more in at[1:]:
-                mask &= slots[more]
-            for i in range(64 * w, min(64 * w + 64, len(self.langs))):
-                bit = ((mask >> np.uint64(i % 64)) & np.uint64(1)).astype(np.int64)
-                out[full, i] = np.add.reduceat(bit, first)
+        out, number, lettered = self.popcounts(texts)
         fp = self.false_positive()
-        return np.maximum(0, (out - count[:, None] * fp) / (1 - fp + 1e-12)), lettered
+        return np.maximum(0, (out - number[:, None] * fp) / (1 - fp + 1e-12)), lettered
+
+    def speaks(self, texts: list[str | None]) -> list[bool]:
+        """Whether some language is to be heard: there are letters, and the best
+        filter passes ``HEARD`` of the n-grams beyond its false positives, and
+        more of them than these would by chance (``MARGIN`` standard deviations).
+        A text of fewer than ``FEW`` n-grams cannot show that and passes."""
+        out, number, lettered = self.popcounts(texts)
+        if not self.langs:
+            return [False] * len(texts)
+        fp, n = self.false_positive(), number[:, None]
+        beyond = out - n * fp
+        heard = (beyond >= HEARD * n * (1 - fp)) & (beyond > MARGIN * np.sqrt(n * fp * (1 - fp)))
+        return (lettered & ((number < FEW) | heard.any(axis=1))).tolist()
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.langs:
@@ -131,8 +198,7 @@ def _usual(texts: list[str]) -> np.ndarray:
     """The n-grams in at least SHARE of the texts (two at least, if there are
     more texts), the most frequent NGRAMS of them."""
     grams, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for at in range(0, len(texts), 50):
-        h, count, _ = ngrams(texts[at:at + 50])
+    for _, h, count, _ in _slices(texts):
         ends = np.cumsum(count)
         seen = np.concatenate([grams, *(np.unique(h[e - c:e]) for e, c in zip(ends, count))])
         weight = np.concatenate([docs, np.ones(len(seen) - len(grams), np.int64)])
@@ -150,14 +216,19 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                        F.col(f"`{lang_col}`").alias("lang")).where(
         "_id is not null and text is not null and lang is not null").where(
         F.pmod(text_id("_id"), F.lit(HELD_OUT)) != HELD).where(F.octet_length("text") <= SAMPLE_BYTES)
-    place = F.pmod(F.xxhash64("_id", "text", F.lit(13)), F.lit(1 << 30))
-    # the 2 * sample / count smallest hashes of each language, then exactly the smallest
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    few = rows.join(F.broadcast(sizes), "lang").where(
-        place < F.lit(float(1 << 30)) * F.lit(2.0 * sample) / F.col("size")).withColumn("place", place)
+    # repeats of a row count once: a third of all rows may be one row
+    place = F.pmod(F.xxhash64("_id", "text", F.lit(13)), F.lit(1 << 62))
+    sizes = materialize(rows.select("lang", place.alias("place")).distinct().groupBy("lang").agg(
+        F.count(F.lit(1)).alias("size")), "language-sizes")
+    if sizes.limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    # the 2 * sample / size smallest hashes of each language, then exactly the smallest
+    few = (rows.withColumn("place", place).join(F.broadcast(sizes), "lang")
+           .where(F.col("place") < F.lit(float(1 << 62)) * F.lit(2.0 * sample) / F.col("size"))
+           .groupBy("lang", "place").agg(F.first("text").alias("text"), F.first("size").alias("size")))
 
     def run(whole):
-        got = sorted(set(zip(*(whole.column(c).to_pylist() for c in ("place", "text")))))[:sample]
+        got = sorted(zip(*(whole.column(c).to_pylist() for c in ("place", "text"))))[:sample]
         grams = _usual([t for _, t in got])
         return pa.Table.from_arrays([
             pa.array(whole.column("lang").to_pylist()[:1]), pa.array([grams.tobytes()], pa.binary()),
@@ -186,8 +257,11 @@ def q_language(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows whose language is identified: there are letters, and some
-    language's filter speaks for them."""
-    lang, share = "__lang_pred", "__lang_score"
-    return identify(docs, learn(docs), lang_out=lang, score_out=share).where(
-        (F.col(lang) != UNKNOWN) & (F.col(share) > 0)).drop(lang, share)
+    """The rows in which some learned language is to be heard (``Filters.speaks``);
+    texts without a letter go."""
+    filters = learn(docs)
+    shared, hidden = docs.sparkSession.sparkContext.broadcast(filters), fresh(docs, "heard")
+
+    def make(texts):
+        return [shared.value.speaks(texts)]
+    return add_columns(docs, [T.StructField(hidden, T.BooleanType())], make).where(F.col(hidden)).drop(hidden)

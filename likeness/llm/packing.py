@@ -20,6 +20,7 @@ first); an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,8 @@ class _Words(dict):
     The tokenizer drops white space, and no piece spans it, so a text's ids are
     its words' ids in order.  Plain words (letters below U+0130, then ASCII
     punctuation) go to the merge model directly; any other word goes through
-    the whole tokenizer.  ``dict`` values are word numbers; ``start`` and
-    ``count`` locate a number's ids in ``flat``.
+    the whole tokenizer.  ``dict`` values are word numbers; ``start`` holds where
+    a number's ids begin in ``flat``.  Both only grow at their ends.
     """
     MARKS = ".,;:!?"
 
@@ -61,31 +62,31 @@ class _Words(dict):
         self.whole = Tokenizer.from_file(path)
         self.merge = self.whole.model
         self.letters = _byte_letters()
-        self.plain: dict[str, list[int]] = {}
+        self.plain: dict[str, bytes] = {}
         self.clear_all()
 
     def clear_all(self):
         self.clear()
         self.plain.clear()
-        self.start, self.count, self.flat = [], [], []
+        self.start, self.flat = array("q", [0]), array("I")
 
-    def _merged(self, word: str) -> list[int]:
+    def _merged(self, word: str) -> array:
         if word not in self.plain:
             shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-            self.plain[word] = [t.id for t in self.merge.tokenize(shown)]
+            self.plain[word] = array("I", [t.id for t in self.merge.tokenize(shown)])
         return self.plain[word]
 
     def __missing__(self, word: str) -> int:
         body = word.rstrip(self.MARKS)
         if (body.isalpha() or not body) and (word.isascii() or max(word) < "İ"):
-            ids = (self._merged(body.lower()) if body else []) + (
-                self._merged(word[len(body):]) if len(body) < len(word) else [])
+            if body:
+                self.flat.extend(self._merged(body.lower()))
+            if len(body) < len(word):
+                self.flat.extend(self._merged(word[len(body):]))
         else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
+            self.flat.extend(self.whole.encode(word, add_special_tokens=False).ids)
         number = self[word] = len(self)
         self.start.append(len(self.flat))
-        self.count.append(len(ids))
-        self.flat += ids
         return number
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -97,13 +98,15 @@ class _Words(dict):
             odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
             words = [text] if odd else text.split()
             found.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-        start, count, flat = (np.array(x, np.int64) for x in (self.start, self.count, self.flat))
+        # views of the grown arrays: they cannot grow while a view lives, and none is returned
+        start, flat = np.frombuffer(self.start, np.int64), np.frombuffer(self.flat, np.uint32)
         out = []
         for at in found:
-            n = count[at]
+            first = start[at]
+            n = start[at + 1] - first
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.repeat(start[at] - (ends - n), n) + np.arange(total)].astype("<u4"))
+            out.append(flat[np.repeat(first - (ends - n), n) + np.arange(total)])
         return out
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from likeness.llm.common import add_columns, text_id
+from likeness.llm.common import add_columns, fresh, text_id
 
 EMBED, WIDTH, FILTERS, HIDDEN = 8, 6, 24, 24
 SEGMENT = 256                       # bytes; a chunk is two of them
@@ -252,5 +252,5 @@ def q_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
-    hidden = "__quality"
+    hidden = fresh(docs, "quality_score")
     return score(docs, train(docs, labels), out=hidden).where(F.col(hidden) >= THRESHOLD).drop(hidden)

@@ -158,25 +158,46 @@ def _code(tri: str) -> int:
     return a << 16 | b << 8 | c
 
 
+SLICE = 1 << 19                     # bytes indexed at once
+
+
 class Segment:
     """Inverted file of one batch of texts over the trigrams the rules ask for."""
 
     def __init__(self, texts: list[str], slots: np.ndarray, n_terms: int):
-        data = [t.encode().lower() for t in texts]          # bytes.lower folds A-Z alone
-        self.n = len(data)
-        ends = np.cumsum([len(d) for d in data], dtype=np.int64) if data else np.zeros(0, np.int64)
-        raw = np.frombuffer(b"".join(data), np.uint8).astype(np.uint32)
-        self.post: list[np.ndarray] = [np.zeros(0, np.int64)] * n_terms
+        self.n = len(texts)
+        pairs = [np.zeros(0, np.int64), *(self._pairs(part, slots) for part in self._slices(texts))]
+        pairs = np.unique(np.concatenate(pairs))
+        terms, docs = pairs // max(1, self.n), pairs % max(1, self.n)
+        cuts = np.searchsorted(terms, np.arange(1, n_terms + 2))
+        self.post: list[np.ndarray] = [docs[cuts[i]:cuts[i + 1]] for i in range(n_terms)]
+
+    @staticmethod
+    def _slices(texts: list[str]):
+        """[(text number, bytes)] of about ``SLICE`` bytes; a longer text comes in
+        parts that share two bytes, so that every trigram is in one."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            data = text.encode().lower()                    # bytes.lower folds A-Z alone
+            for at in range(0, max(1, len(data) - 2), SLICE):
+                held.append((i, data[at:at + SLICE + 2]))
+                size += len(held[-1][1])
+                if size >= SLICE:
+                    yield held
+                    held, size = [], 0
+        yield held
+
+    def _pairs(self, part: list[tuple[int, bytes]], slots: np.ndarray) -> np.ndarray:
+        """Distinct term * n + text of one slice."""
+        raw = np.frombuffer(b"".join(d for _, d in part), np.uint8).astype(np.uint32)
         if len(raw) < 3:
-            return
+            return np.zeros(0, np.int64)
+        own, ends = np.array([i for i, _ in part], np.int64), np.cumsum([len(d) for _, d in part], dtype=np.int64)
         term = slots[(raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]]
         at = np.flatnonzero(term)
-        doc = np.searchsorted(ends, at, side="right")
-        inside = at + 3 <= ends[doc]                        # not across two documents
-        pairs = np.unique(term[at[inside]].astype(np.int64) * self.n + doc[inside])
-        terms, docs = pairs // self.n, pairs % self.n
-        cuts = np.searchsorted(terms, np.arange(1, n_terms + 2))
-        self.post = [docs[cuts[i]:cuts[i + 1]] for i in range(n_terms)]
+        piece = np.searchsorted(ends, at, side="right")
+        inside = at + 3 <= ends[piece]                      # not across two pieces
+        return np.unique(term[at[inside]].astype(np.int64) * self.n + own[piece[inside]])
 
     def answer(self, query, number: dict[str, int]) -> np.ndarray:
         if query == ALL:

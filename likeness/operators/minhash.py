@@ -1,6 +1,6 @@
-"""MinHash signatures, exact-copy groups and banded LSH candidates.
+"""MinHash signatures and exact-copy groups (A3).
 
-Plan shape (A3 -> J7 -> F2):
+Plan shape:
 
 * signatures: ``num_perm`` ``min`` aggregates per entity; ``min`` is
   idempotent, so duplicate interactions need no ``distinct``.  Long form:
@@ -10,9 +10,7 @@ Plan shape (A3 -> J7 -> F2):
 * exact copies: entities with identical signatures collapse to one
   representative (the smallest id) before banding, so a group of m copies
   costs m rows, not m^2/2 pairs per band.
-* bands: ``b`` slices of ``r`` slots, exploded per representative and
-  equi-joined on ``(band, key)`` with ``id1 < id2``; pairs found in several
-  bands are de-duplicated by a distinct (partial aggregate) before scoring.
+* pairs of representatives that share a band: see ``buckets``.
 """
 
 from __future__ import annotations
@@ -24,9 +22,7 @@ from pyspark.sql import functions as F
 
 from likeness.functions.hashing import (  # noqa: F401  (re-exported parameters)
     MERSENNE_PRIME,
-    NUM_BANDS,
     NUM_PERM,
-    ROWS_PER_BAND,
     SEED,
     element_hash,
     minhash_params,
@@ -209,39 +205,3 @@ def group_members(sig: DataFrame, reps: DataFrame) -> DataFrame:
     written, so the grouping runs once)."""
     return _with_sig_key(sig).join(reps, ["sig_key", "sig"]).select(
         "id", "n", "group_id", "group_size")
-
-
-def band_keys(reps: DataFrame, id_col: str = "group_id", num_bands: int = NUM_BANDS,
-              rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
-    """(id, band, key ARRAY<BIGINT>) - slots [r*j, r*j + r) of band j."""
-    slices = F.array(*[F.slice("sig", rows_per_band * j + 1, rows_per_band)
-                       for j in range(num_bands)])
-    return reps.select(F.col(id_col).alias("id"), F.posexplode(slices).alias("band", "key"))
-
-
-def lsh_candidates(reps: DataFrame, id_col: str = "group_id", num_bands: int = NUM_BANDS,
-                   rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
-    """Distinct (id1 < id2) sharing at least one band key."""
-    bands = band_keys(reps, id_col, num_bands, rows_per_band)
-    left = bands.select(F.col("id").alias("id1"), "band", "key")
-    right = bands.select(F.col("id").alias("id2"), "band", "key")
-    # a bucket shared by many distinct signatures is skewed on both sides;
-    # AQE's skew join splits both and joins the slices pairwise
-    return (left.join(right, ["band", "key"])
-            .where(F.col("id1") < F.col("id2"))
-            .select("id1", "id2").distinct())
-
-
-def estimated_jaccard(sig1: str = "sig1", sig2: str = "sig2") -> F.Column:
-    """share of equal slots."""
-    equal = F.zip_with(F.col(sig1), F.col(sig2), lambda x, y: F.when(x == y, 1).otherwise(0))
-    return (F.aggregate(equal, F.lit(0), lambda acc, x: acc + x).cast("double")
-            / F.size(F.col(sig1)).cast("double"))
-
-
-def score_pairs(pairs: DataFrame, reps: DataFrame, id_col: str = "group_id") -> DataFrame:
-    """(id1, id2) -> (id1, id2, estimated_jaccard) by joining both signatures."""
-    s1 = reps.select(F.col(id_col).alias("id1"), F.col("sig").alias("sig1"))
-    s2 = reps.select(F.col(id_col).alias("id2"), F.col("sig").alias("sig2"))
-    return (pairs.join(s1, "id1").join(s2, "id2")
-            .select("id1", "id2", estimated_jaccard().alias("estimated_jaccard")))

@@ -8,45 +8,43 @@ Draw j of trial t over n eligible entities indexed 0..n-1 in id order::
 
 The first draw of a pair counts and the ``k`` lowest draws of each trial are
 kept.  Every trial makes 20*k draws, and twice as many whenever a trial is left
-short of k pairs.  ``h`` has 28 bits, and 60 for more than 2^28 entities, which
-28 bits could not all reach.  When few pairs exist (n(n-1)/2 <= 10*k)
-draws could miss some, so all pairs are enumerated instead and ordered by
-``h('seed:t:i:j:e')`` (ties by index); the first k (or all) are kept, with
-``draw`` their position.
+short of min(k, n(n-1)/2) pairs: one rule for every n.  ``h`` has 60 bits.
 All trials are one job: the draw table grows with trials x draws only, is
-broadcast, and meets the entity index in an equi-join on the index.
+broadcast (after a size check), and meets the entity index in an equi-join on
+the index.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from likeness.functions.hashing import SEED, seeded_hash, wide_seeded_hash
-from likeness.session import materialize
+from likeness.functions.hashing import SEED, wide_seeded_hash
+from likeness.session import bounded_broadcast, materialize
 
 # Trials, pairs per trial and the minimum activity of the
 # random control group.
 TRIALS = 20
 PAIRS_PER_TRIAL = 100
 MIN_RATINGS = 1
-HASHED = 1 << 28               # indices that the 28-bit hash can reach
 
 
 def dense_index(ids: DataFrame, id_col: str = "id") -> DataFrame:
     """(idx BIGINT, id) numbered 0..n-1 in id order.
 
-    A global ``row_number`` would run in one task; instead the ids are range-
-    partitioned and sorted, then numbered with per-partition offsets
-    (``zipWithIndex``), which stays distributed.
+    A global ``row_number`` would run in one task.  The ids are range-
+    partitioned and sorted, and written with their place in their partition; a
+    partition's offset is the number of rows in the partitions before it (one
+    row per partition, whatever the table's size).
     """
-    spark = ids.sparkSession
-    ordered = ids.select(F.col(id_col).alias("id")).orderBy("id")
-    schema = T.StructType([T.StructField("idx", T.LongType(), False),
-                           T.StructField("id", ordered.schema["id"].dataType, True)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: (r[1], r[0][0]))
-    return spark.createDataFrame(rdd, schema)
+    spot = F.monotonically_increasing_id()       # partition << 33 | place in it
+    run = materialize(ids.select(F.col(id_col).alias("id")).repartitionByRange("id").sortWithinPartitions("id")
+                      .withColumn("_spot", spot).withColumn("_part", F.shiftright("_spot", 33)), "dense-index")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (run.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_spot").alias("_first"))
+               .select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    return run.join(F.broadcast(offsets), "_part").select(
+        (F.col("_before") + F.col("_spot") - F.col("_first")).alias("idx"), "id")
 
 
 def draws(spark, n: int, trials: int = TRIALS, per_trial: int = 20 * PAIRS_PER_TRIAL,
@@ -56,9 +54,8 @@ def draws(spark, n: int, trials: int = TRIALS, per_trial: int = 20 * PAIRS_PER_T
     trial = (F.col("id") / per_trial).cast("bigint")
     j = F.col("id") % per_trial
     base = r.select(trial.alias("trial"), j.alias("draw"))
-    h = seeded_hash if n <= HASHED else wide_seeded_hash
-    i1 = h(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("a")) % F.lit(n)
-    i2 = h(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("b")) % F.lit(n - 1)
+    i1 = wide_seeded_hash(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("a")) % F.lit(n)
+    i2 = wide_seeded_hash(F.lit(seed), F.col("trial"), F.col("draw"), F.lit("b")) % F.lit(n - 1)
     return (base.withColumn("i1", i1).withColumn("_i2", i2)
             .withColumn("i2", F.when(F.col("_i2") >= F.col("i1"), F.col("_i2") + 1)
                         .otherwise(F.col("_i2")))
@@ -70,24 +67,21 @@ def random_pairs(eligible_ids: DataFrame, trials: int = TRIALS, k: int = PAIRS_P
     """(trial, draw, id1, id2): k distinct unordered pairs per trial (fewer
     only when fewer exist).  ``eligible_ids`` has one column ``id``."""
     spark = eligible_ids.sparkSession
-    index = dense_index(eligible_ids).cache()
+    index = dense_index(eligible_ids)
     n = index.count()
-    schema = "trial bigint, draw bigint, id1 bigint, id2 bigint"
     if n < 2:
-        return spark.createDataFrame([], schema)
-    if n * (n - 1) // 2 <= 10 * k:
-        return _all_pairs(spark, index, n, trials, k, seed)
-    per_trial = per_trial or 20 * k
+        return spark.createDataFrame([], "trial bigint, draw bigint, id1 bigint, id2 bigint")
+    per_trial, wanted = per_trial or 20 * k, trials * min(k, n * (n - 1) // 2)
     while True:
         found = materialize(_drawn(index, draws(spark, n, trials, per_trial, seed), k), "drawn-pairs")
-        if found.count() >= trials * k:            # more than 10 * k pairs exist
+        if found.count() >= wanted:
             return found
         per_trial *= 2
 
 
 def _drawn(index: DataFrame, drawn: DataFrame, k: int) -> DataFrame:
     """The first ``k`` distinct pairs of each trial."""
-    d = F.broadcast(drawn)
+    d = bounded_broadcast(drawn)
     a = index.select(F.col("idx").alias("i1"), F.col("id").alias("u1"))
     b = index.select(F.col("idx").alias("i2"), F.col("id").alias("u2"))
     pairs = (a.join(d, "i1").join(b, "i2")
@@ -97,21 +91,3 @@ def _drawn(index: DataFrame, drawn: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("trial").orderBy("draw")
     return (first.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
             .select("trial", "draw", "id1", "id2"))
-
-
-def _all_pairs(spark, index: DataFrame, n: int, trials: int, k: int, seed: int) -> DataFrame:
-    """Every index pair (i < j) of every trial, seeded order; n <= ~10*sqrt(2k),
-    so the table has at most trials x n^2 rows (a bounded broadcast)."""
-    r = spark.range(0, trials * n * n)
-    grid = (r.select((F.col("id") / (n * n)).cast("bigint").alias("trial"),
-                     ((F.col("id") % (n * n)) / n).cast("bigint").alias("i1"),
-                     (F.col("id") % n).alias("i2"))
-            .where(F.col("i1") < F.col("i2"))
-            .withColumn("_o", seeded_hash(F.lit(seed), F.col("trial"), F.col("i1"), F.col("i2"),
-                                          F.lit("e"))))
-    w = Window.partitionBy("trial").orderBy("_o", "i1", "i2")
-    chosen = (grid.withColumn("draw", F.row_number().over(w) - 1).where(F.col("draw") < k))
-    a = index.select(F.col("idx").alias("i1"), F.col("id").alias("id1"))
-    b = index.select(F.col("idx").alias("i2"), F.col("id").alias("id2"))
-    return (F.broadcast(chosen).join(a, "i1").join(b, "i2")
-            .select("trial", F.col("draw").cast("bigint").alias("draw"), "id1", "id2"))

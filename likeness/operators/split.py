@@ -5,14 +5,12 @@ item) and cut positionally: the first ``n*8 div 10`` rows train, up to
 ``n*9 div 10`` validate, the rest test.  Entities with fewer than 5 rows are
 dropped.
 
-A window partitioned by entity sorts each entity in one task.  That is the
-cheapest plan while every entity is small, so one partial aggregate first
-finds the largest entity.  Only when some entity exceeds ``HEAVY_ROWS``
-(more than one task should sort) the rank is computed in two bounded steps:
-the md5 key's first 16 bits pick one of 65,536 buckets; counts per (entity,
-bucket) give each bucket's offset, and a window over (entity, bucket)
-numbers the rows inside.  Buckets follow the key order, so offset + local
-row number is the exact rank.
+One plan for entities of every size.  Entities of more than ``HEAVY_ROWS`` rows
+(found by one partial aggregate; there are at most rows / HEAVY_ROWS of them) are
+cut into slices by the leading bits of their md5 key, about ``HEAVY_ROWS`` rows
+each; every other entity is one slice.  A window numbers the rows of a slice, and
+a slice's offset is the number of rows in the slices before it.  Slices follow
+the key's order, so offset + place is the exact rank.
 """
 
 from __future__ import annotations
@@ -21,12 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from likeness.functions.hashing import SEED
+from likeness.session import bounded_broadcast, materialize
 
 # Minimum items per entity and the 80/10/10 cut, in tenths.
 MIN_ITEMS = 5
 TRAIN_TENTHS = 8
 VAL_TENTHS = 9
-BUCKET_HEX_DIGITS = 4
+LEADING_HEX_DIGITS = 7
 HEAVY_ROWS = 5_000_000
 
 
@@ -35,46 +34,31 @@ def shuffle_key(entity: Column, item: Column, seed: int = SEED) -> Column:
 
 
 def ranked_within(df: DataFrame, entity: str, key: Column, tiebreak: str,
-                  heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
+                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Adds ``rn`` (1-based rank of the row inside its entity by (key,
-    tiebreak)) and ``n`` (rows of the entity).
-
-    ``heavy_rows``: largest entity one task may sort; ``None`` always uses
-    the per-entity window, 0 always the bucketed plan.
-    """
-    if heavy_rows is None or (heavy_rows > 0 and _largest(df, entity) <= heavy_rows):
-        w = Window.partitionBy(entity).orderBy(key, tiebreak)
-        return (df.withColumn("rn", F.row_number().over(w))
-                .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(entity))))
-    return _ranked_bucketed(df, entity, key, tiebreak)
-
-
-def _largest(df: DataFrame, entity: str) -> int:
-    biggest = df.groupBy(entity).count().agg(F.max("count")).first()[0]
-    return int(biggest or 0)
-
-
-def _ranked_bucketed(df: DataFrame, entity: str, key: Column, tiebreak: str) -> DataFrame:
-    rows = (df.withColumn("_key", key)
-            .withColumn("_bucket", F.conv(F.substring("_key", 1, BUCKET_HEX_DIGITS), 16, 10)
-                        .cast("int")))
-    counts = rows.groupBy(entity, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(entity).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (counts
-               .withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               .withColumn("n", F.sum("_c").over(Window.partitionBy(entity)))
-               .select(entity, "_bucket", "_before", "n"))
-    local = Window.partitionBy(entity, "_bucket").orderBy("_key", tiebreak)
-    return (rows.withColumn("_local", F.row_number().over(local))
-            .join(offsets, [entity, "_bucket"])
-            .withColumn("rn", F.col("_before") + F.col("_local"))
-            .drop("_key", "_bucket", "_local", "_before"))
+    tiebreak)) and ``n`` (rows of the entity).  ``key`` is an md5 text;
+    ``heavy_rows``: rows of one entity that one task sorts."""
+    rows = materialize(df.withColumn("_key", key), "keyed-rows")   # read twice below
+    heavy = materialize(
+        rows.groupBy(entity).agg(F.count(F.lit(1)).alias("_total")).where(F.col("_total") > heavy_rows)
+        .withColumn("_slices", F.ceil(F.col("_total") / heavy_rows).cast("bigint")), "heavy-entities")
+    lead = F.conv(F.substring("_key", 1, LEADING_HEX_DIGITS), 16, 10).cast("bigint")
+    sliced = rows.join(bounded_broadcast(heavy), entity, "left").withColumn(
+        "_slice", F.coalesce(F.shiftright(lead * F.col("_slices"), 4 * LEADING_HEX_DIGITS), F.lit(0)))
+    sizes = sliced.where("_slices is not null").groupBy(entity, "_slice").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(entity).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(sizes.select(entity, "_slice", F.sum("_c").over(before).alias("_before")), "slice-offsets")
+    inside = Window.partitionBy(entity, "_slice")
+    return (sliced.withColumn("_place", F.row_number().over(inside.orderBy("_key", tiebreak)))
+            .withColumn("n", F.coalesce("_total", F.count(F.lit(1)).over(inside)))
+            .join(bounded_broadcast(offsets), [entity, "_slice"], "left")
+            .withColumn("rn", F.coalesce("_before", F.lit(0)) + F.col("_place"))
+            .drop("_key", "_slice", "_slices", "_total", "_place", "_before"))
 
 
 def assign_split(df: DataFrame, entity: str = "user_id", item: str = "item_id",
                  seed: int = SEED, min_items: int = MIN_ITEMS,
-                 heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
+                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """df + ``split`` ('train' | 'val' | 'test'); other columns are carried."""
     ranked = ranked_within(df, entity, shuffle_key(F.col(entity), F.col(item), seed), item,
                            heavy_rows)

@@ -13,6 +13,10 @@ def _h(x: str) -> str:
     return f"('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 7))::BIGINT"
 
 
+def _h60(x: str) -> str:
+    return f"('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 15))::BIGINT"
+
+
 def _perms() -> str:
     rows = ", ".join(f"({i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(minhash_params()))
     return f"perms(perm, a, b) AS (VALUES {rows})"
@@ -172,7 +176,7 @@ def _corr(pairs: str, common: str, keys: str, name: str) -> str:
 
 
 def _random_pairs_sql(n_draws: int = 2000, trials: int = 20, k: int = 100) -> str:
-    hh = lambda s: _h(s)
+    hh = _h60
     return f"""elig AS (SELECT user_id AS id, row_number() OVER (ORDER BY user_id) - 1 AS idx
   FROM (SELECT user_id FROM doc_terms GROUP BY user_id HAVING count(*) > 1) e),
 nn AS (SELECT count(*) AS n FROM elig),
@@ -186,21 +190,8 @@ rp_all AS (
   SELECT trial, min(draw) AS draw, least(a.id, b.id) AS id1, greatest(a.id, b.id) AS id2
   FROM dr2 JOIN elig a ON a.idx = dr2.i1 JOIN elig b ON b.idx = dr2.i2
   GROUP BY trial, least(a.id, b.id), greatest(a.id, b.id)),
-rp_drawn AS (SELECT trial, draw, id1, id2 FROM rp_all
-  QUALIFY row_number() OVER (PARTITION BY trial ORDER BY draw) <= {k}),
-rp_enum AS (
-  SELECT t.r AS trial,
-         row_number() OVER (PARTITION BY t.r ORDER BY
-           {hh("'42:' || CAST(t.r AS VARCHAR) || ':' || CAST(a.idx AS VARCHAR) || ':' || CAST(b.idx AS VARCHAR) || ':e'")},
-           a.idx, b.idx) - 1 AS draw,
-         a.id AS id1, b.id AS id2
-  FROM range({trials}) t(r), nn, elig a, elig b
-  WHERE nn.n * (nn.n - 1) // 2 <= {10 * k} AND a.idx < b.idx
-  QUALIFY draw < {k}),
-rp AS (
-  SELECT * FROM rp_drawn WHERE (SELECT n * (n - 1) // 2 FROM nn) > {10 * k}
-  UNION ALL
-  SELECT * FROM rp_enum WHERE (SELECT n * (n - 1) // 2 FROM nn) <= {10 * k})"""
+rp AS (SELECT trial, draw, id1, id2 FROM rp_all
+  QUALIFY row_number() OVER (PARTITION BY trial ORDER BY draw) <= {k})"""
 
 
 def build() -> dict[str, str]:
@@ -208,16 +199,17 @@ def build() -> dict[str, str]:
     q["minhash_signatures"] = "WITH " + ",\n".join([DOC_TERMS, _signatures()]) + """
 SELECT id, perm::BIGINT AS perm, h FROM sig_long"""
     q["signature_groups"] = "WITH " + ",\n".join([DOC_TERMS, _signatures(), _groups()]) + """
-SELECT sig.id, grp.group_id, grp.group_size::BIGINT AS group_size FROM sig JOIN grp USING (s)"""
+SELECT sig.id, ent.n::BIGINT AS n, grp.group_id, grp.group_size::BIGINT AS group_size
+FROM sig JOIN grp USING (s) JOIN ent ON ent.id = sig.id"""
     q["lsh_candidates"] = "WITH " + similarity_by_group() + """
 SELECT DISTINCT group1, group2 FROM named"""
     q["similar_pairs"] = "WITH " + similarity_by_group() + """
 SELECT n.group1, n.group2, round(min(n.estimated_jaccard), 7) AS estimated_jaccard,
-       min(a.group_size)::BIGINT AS size1, min(b.group_size)::BIGINT AS size2, count(*)::BIGINT AS n_pairs
+       min(a.group_size)::BIGINT AS size1, min(b.group_size)::BIGINT AS size2, count(*)::DECIMAL(38,0) AS n_pairs
 FROM named n JOIN grp a ON a.group_id = n.group1 JOIN grp b ON b.group_id = n.group2
 GROUP BY n.group1, n.group2"""
     q["pairs_per_threshold"] = "WITH " + ",\n".join([similarity_brute_force(), _th()]) + f"""
-SELECT t.min_ratings::BIGINT AS min_ratings, count(s.id1)::BIGINT AS n_pairs,
+SELECT t.min_ratings::BIGINT AS min_ratings, count(s.id1)::DECIMAL(38,0) AS n_pairs,
        least(count(s.id1), {TOP_K})::BIGINT AS n_kept
 FROM th t LEFT JOIN (
   SELECT s.id1, e1.n AS n1, e2.n AS n2 FROM scored s

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from likeness.operators import minhash, toppairs
+from likeness.operators import buckets, minhash, toppairs
 from likeness.session import input_fingerprint, materialize
 from likeness.sources import tables
 
@@ -24,7 +24,7 @@ _DOC_INDEX: dict = {}
 
 
 def doc_index(spark, sf_dir, min_count: int | None = None):
-    """(sig, members, reps, scored) of the documents fixture, written once.
+    """(sig, members, reps) of the documents fixture, written once.
 
     Every report below shares the unfiltered index: eligibility (count > t)
     is applied per threshold inside the report, so a pre-filter would only
@@ -32,15 +32,14 @@ def doc_index(spark, sf_dir, min_count: int | None = None):
     """
     key = (spark.sparkContext.applicationId,
            input_fingerprint(spark, os.path.join(sf_dir, "documents.parquet")),
-           min_count, minhash.NUM_PERM, minhash.SEED, minhash.NUM_BANDS, minhash.ROWS_PER_BAND)
+           min_count, minhash.NUM_PERM, minhash.SEED)
     if key not in _DOC_INDEX:
-        sig, members, reps, scored = signature_index(doc_signatures(spark, sf_dir), min_count)
-        _DOC_INDEX[key] = (sig, members, reps, materialize(scored, "signature_pairs"))
+        _DOC_INDEX[key] = signature_index(doc_signatures(spark, sf_dir), min_count)
     return _DOC_INDEX[key]
 
 
 def signature_index(sig: DataFrame, min_count: int | None = None):
-    """signatures -> exact-copy groups -> scored representative pairs.
+    """signatures -> (signatures, members of exact-copy groups, representatives).
 
     ``sig`` (id, n, sig) from ``minhash.signatures`` or
     ``minhash.signatures_of_rows``.  ``min_count``: keep only entities with
@@ -54,28 +53,30 @@ def signature_index(sig: DataFrame, min_count: int | None = None):
     sig = materialize(sig, "signatures")
     groups = materialize(minhash.group_reps(sig), "signature_reps")
     members = materialize(minhash.group_members(sig, groups), "signature_members")
-    reps = groups.select("group_id", "sig")
-    cand = minhash.lsh_candidates(reps)
-    scored = minhash.score_pairs(cand, reps)
-    return sig, members, reps, scored
+    return sig, members, groups.select("group_id", "sig")
+
+
+def scored_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id1, id2, estimated_jaccard) of the representatives that share a band."""
+    return buckets.all_pairs(toppairs.copy_groups(members, reps))
 
 
 def q_minhash_signatures(spark, sf_dir):
-    sig, _, _, _ = doc_index(spark, sf_dir)
+    sig, _, _ = doc_index(spark, sf_dir)
     return minhash.signatures_long(sig)
 
 
 def q_signature_groups(spark, sf_dir):
-    _, members, _, _ = doc_index(spark, sf_dir)
-    return members.select("id", "group_id", "group_size")
+    _, members, _ = doc_index(spark, sf_dir)
+    return members.select("id", "n", "group_id", "group_size")
 
 
 def q_lsh_candidates(spark, sf_dir):
     """Candidate pairs of groups of exact copies, a group with itself included
     where it has two members or more: with ``signature_groups`` every candidate
     pair, in a size linear in the members."""
-    _, members, reps, _ = doc_index(spark, sf_dir)
-    return minhash.lsh_candidates(reps).toDF("group1", "group2").unionByName(
+    _, members, reps = doc_index(spark, sf_dir)
+    return scored_pairs(members, reps).select("id1", "id2").toDF("group1", "group2").unionByName(
         _copy_groups(members).select("group1", "group2"))
 
 
@@ -87,7 +88,8 @@ def _copy_groups(members):
 
 
 def q_similar_pairs(spark, sf_dir):
-    _, members, _, scored = doc_index(spark, sf_dir)
+    _, members, reps = doc_index(spark, sf_dir)
+    scored = scored_pairs(members, reps)
     groups = members.where(F.col("id") == F.col("group_id"))
     s1 = groups.select(F.col("id").alias("group1"), F.col("group_size").alias("size1"))
     s2 = groups.select(F.col("id").alias("group2"), F.col("group_size").alias("size2"))
@@ -97,18 +99,17 @@ def q_similar_pairs(spark, sf_dir):
         toppairs.product(F.col("size1"), F.col("size2")))
     return across.unionByName(_copy_groups(members)).select(
         "group1", "group2", F.round("estimated_jaccard", 7).alias("estimated_jaccard"),
-        "size1", "size2", implied.cast("bigint").alias("n_pairs"))
+        "size1", "size2", implied.cast("decimal(38,0)").alias("n_pairs"))
 
 
 def q_pairs_per_threshold(spark, sf_dir):
-    _, members, _, scored = doc_index(spark, sf_dir)
-    _, _, hist = toppairs.pair_histogram(members, scored)
-    return toppairs.pairs_per_threshold(hist)
+    _, members, reps = doc_index(spark, sf_dir)
+    return toppairs.pairs_per_threshold(toppairs.score_histogram(members, reps))
 
 
 def top_pairs_docs(spark, sf_dir, thresholds=toppairs.THRESHOLDS, k=toppairs.TOP_K):
-    _, members, _, scored = doc_index(spark, sf_dir)
-    return toppairs.top_pairs(members, scored, thresholds, k)
+    _, members, reps = doc_index(spark, sf_dir)
+    return toppairs.top_pairs(members, reps, thresholds, k)
 
 
 def q_top_pairs_by_threshold(spark, sf_dir):

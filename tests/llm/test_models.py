@@ -95,3 +95,71 @@ def test_language_edge_rows(spark):
     assert all(r.lang_pred in ("en", "fr", "und") for r in out.values())
     assert language.q_language(spark.createDataFrame([], DOCS)).count() == 0
     assert language.keep_identified(docs(spark)).columns == DOCS.names
+
+
+def test_slices_change_nothing(monkeypatch):
+    texts = [None, "", "12 !", "a", "Été, 日本語の文 ΣΑΣ", "one two " * 40, "x" * 300, "  lead and trail  ", "7" * 90 + "b"]
+    grams = {f"l{i}": language.ngrams(texts)[0][i::3] for i in range(3)}
+    f = language.Filters.of(grams)
+    want = [x.tolist() for x in f.popcounts(texts)]
+    for size in (1, 2, 5, 64):
+        monkeypatch.setattr(language, "SLICE", size)
+        assert [x.tolist() for x in f.popcounts(texts)] == want
+
+
+def test_popcounts_equal_plain_sets():
+    """Against Python sets; a Bloom filter may only add false positives."""
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdeé"), rng.integers(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words, 60)) + "." for _ in range(40)]
+    grams = {f"l{k}": np.unique(language.ngrams(texts[k::4])[0])[:200 + 50 * k] for k in range(4)}
+    f = language.Filters.of(grams)
+    out, number, _ = f.popcounts(texts)
+    for i, text in enumerate(texts):
+        h = language.ngrams([text])[0].tolist()
+        assert number[i] == len(h)
+        for k, lang in enumerate(f.langs):
+            exact = sum(x in set(grams[lang].tolist()) for x in h)
+            assert exact <= out[i, k] <= exact + 2
+
+
+def test_a_long_text_takes_bounded_memory():
+    import tracemalloc
+    f = language.Filters.of({"x": language.ngrams(["some words"])[0]})
+    text = "some words of a long text, " * 1_900_000            # 50 MB
+    tracemalloc.start()
+    out, number, _ = f.popcounts([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20 and out[0, 0] > number[0] / 9
+
+
+def test_repeats_of_a_row_do_not_hide_a_language(spark):
+    rows = [(4 * i, f"this is row {i} with words of the english kind", "en") for i in range(1999)]
+    one = [(4, "ceci est une ligne en langue française avec des mots", "fr")] * 20_000
+    d = spark.createDataFrame(rows + one, "doc_id long, text string, lang string")
+    filters = language.learn(d)
+    assert filters.langs == ["en", "fr"]
+    assert filters.predict(["une ligne avec des mots", "words of the kind"])[0] == ["fr", "en"]
+
+
+def test_language_stage_rejects_noise_and_unlearned_languages(spark):
+    d = table(spark, SF_ORACLE, "documents")
+    rng = np.random.default_rng(4)
+    clean = [r.text for r in d.where("lang = 'en'").limit(50).collect()]
+    texts = clean + ["zyxwvut", "the", "Σ", "日本", "123 ... 456", None, "", "  "]
+    texts += ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 400)) for _ in range(20)]
+    texts += ["これは英語ではない長い日本語の文章です。" * 20, "Это длинный русский текст о погоде. " * 20]
+    f = language.learn(d)
+    kept = f.speaks(texts)
+    n = len(clean)
+    assert kept[:n + 4] == [True] * (n + 4)
+    assert kept[n + 4:n + 8] == [False] * 4 and not any(kept[n + 8:])
+
+
+def test_hidden_columns_do_not_replace_the_tables(spark):
+    d = docs(spark).withColumnsRenamed({"Score": "heard", "secrets": "Whole_Text", "source": "quality_score"})
+    kept = language.keep_identified(d)
+    assert kept.columns == d.columns and {r.heard for r in kept.collect()} <= {"clash", None}
+    one = spark.createDataFrame([(i, 1, 0) for i in range(9)], LABELS)
+    assert quality.keep_good(d, one).columns == d.columns

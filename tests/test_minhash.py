@@ -75,7 +75,7 @@ def test_identical_sets_found_like_minhashlsh(spark):
 
     sets = {1: [1, 2, 3, 4, 5, 6], 2: [1, 2, 3, 4, 5, 6], 3: [10, 11, 12, 13, 14, 15],
             4: [10, 11, 12, 13, 14, 15], 5: [40, 41, 42, 43, 44, 45]}
-    _, _, reps, scored = signature_index(minhash.signatures(_long(spark, sets)))
+    signature_index(minhash.signatures(_long(spark, sets)))
     members = minhash.signature_groups(minhash.signatures(_long(spark, sets)))[0]
     groups = {r["id"]: r["group_id"] for r in members.collect()}
     ours = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if groups[a] == groups[b]}
@@ -123,9 +123,9 @@ def test_compact_top_pairs_equal_brute_force(spark):
     sig = {r["id"]: r["sig"] for r in sig_df.collect()}
     counts = {e: len(v) for e, v in sets.items()}
     thresholds, k = (5, 35, 60), 25
-    _, members, _, scored = signature_index(sig_df, min_count=min(thresholds))
+    _, members, reps = signature_index(sig_df, min_count=min(thresholds))
     got = {}
-    for r in toppairs.top_pairs(members, scored, thresholds, k).collect():
+    for r in toppairs.top_pairs(members, reps, thresholds, k).collect():
         got.setdefault(r["min_ratings"], []).append((r["rank"], r["id1"], r["id2"],
                                                      r["estimated_jaccard"]))
     want = _brute_top(sets, counts, thresholds, k, sig)
@@ -136,7 +136,7 @@ def test_compact_top_pairs_equal_brute_force(spark):
     # the first 25 pairs at t=5 are the lowest-id copies, all at 1.0
     first = sorted(got[5])
     assert first[0][1:3] == (1, 2) and all(x[3] == 1.0 for x in first)
-    hist = toppairs.pair_histogram(members, scored, thresholds)[2]
+    hist = toppairs.score_histogram(members, reps, thresholds)
     counts_t = {r["min_ratings"]: r["n_pairs"]
                 for r in toppairs.pairs_per_threshold(hist, thresholds, k).collect()}
     brute_all = _brute_top(sets, counts, thresholds, 10 ** 9, sig)
@@ -145,8 +145,8 @@ def test_compact_top_pairs_equal_brute_force(spark):
 
 def test_fewer_pairs_than_k(spark):
     sets = {1: list(range(10)), 2: list(range(10)), 3: list(range(10)), 4: [99] * 3}
-    _, members, _, scored = signature_index(minhash.signatures(_long(spark, sets)), min_count=5)
-    out = toppairs.top_pairs(members, scored, (5,), 100).collect()
+    _, members, reps = signature_index(minhash.signatures(_long(spark, sets)), min_count=5)
+    out = toppairs.top_pairs(members, reps, (5,), 100).collect()
     assert sorted((r["id1"], r["id2"]) for r in out) == [(1, 2), (1, 3), (2, 3)]
 
 
@@ -165,3 +165,77 @@ def test_pair_counts_are_exact_beyond_doubles(spark):
     sizes = spark.createDataFrame([(200_000_003,), (5_000_000_000,), (2,)], "e bigint")
     got = {r[0]: int(r[1]) for r in sizes.select("e", pairs_within("e")).collect()}
     assert got == {e: e * (e - 1) // 2 for e in got}
+
+
+def _signature_table(spark, sigs, n=60):
+    import pandas as pd
+
+    d = pd.DataFrame({"id": range(len(sigs)), "n": n, "sig": [list(map(int, s)) for s in sigs]})
+    return spark.createDataFrame(d, "id long, n long, sig array<long>")
+
+
+def test_hot_bucket_is_dealt_and_equals_brute_force(spark, monkeypatch):
+    """3,000 distinct signatures in one band bucket."""
+    import numpy as np
+
+    from likeness.operators import buckets
+
+    monkeypatch.setattr(buckets, "BLOCK", 256)
+    rng = np.random.default_rng(5)
+    sigs = rng.integers(0, 1 << 30, (3000, 128))
+    sigs[:, :13] = 7                                   # one bucket of band 0
+    for i in range(0, 600, 2):                         # pairs of all closenesses
+        far = rng.integers(1, 90)
+        sigs[i + 1, 13:128] = sigs[i, 13:128]
+        sigs[i + 1, rng.choice(np.arange(13, 128), far, replace=False)] += 1
+    table = _signature_table(spark, sigs)
+    _, members, reps = signature_index(table)
+    cells = buckets.bucket_members(reps, block=256).groupBy("band", "low", "high").count().collect()
+    assert len([c for c in cells if c.band == 0]) == 12 * 13 // 2 and max(c["count"] for c in cells) < 1000
+
+    want = {}
+    for i in range(3000):
+        same = (sigs[i + 1:] == sigs[i]).sum(axis=1)
+        for j in range(len(same)):
+            want[i, i + 1 + j] = int(same[j])
+    hist = toppairs.score_histogram(members, reps, (5,)).collect()
+    counts = {}
+    for v in want.values():
+        counts[v] = counts.get(v, 0) + 1
+    assert {round(r.estimated_jaccard * 128): int(r.cnt) for r in hist} == counts
+    for k in (3, 100, 400):
+        top = sorted((-v, a, b) for (a, b), v in want.items())[:k]
+        got = sorted(toppairs.top_pairs(members, reps, (5,), k).collect(), key=lambda r: r["rank"])
+        assert [(-round(r.estimated_jaccard * 128), r.id1, r.id2) for r in got] == top
+
+
+def test_bound_takes_the_hot_bucket_apart(spark):
+    """With the K-th best pair at 126 of 128 slots, three spans stand for the
+    nine bands, and members of the hot band bucket no longer meet."""
+    import numpy as np
+
+    from likeness.operators import buckets
+
+    rng = np.random.default_rng(6)
+    sigs = rng.integers(0, 1 << 30, (400, 128))
+    sigs[:, :13] = 7
+    for i in range(0, 40, 2):
+        sigs[i + 1] = sigs[i]
+        sigs[i + 1, [20, 100]] += 1
+    _, members, reps = signature_index(_signature_table(spark, sigs))
+    groups = toppairs.copy_groups(members, reps, (5,))
+    assert toppairs._needed_slots(groups, (5,), 10, 128) == [126]
+    assert buckets.equal_spans(3) == ((0, 42), (42, 43), (85, 43))
+    assert buckets.bucket_members(reps, buckets.equal_spans(3)).count() == 40
+    got = toppairs.top_pairs(members, reps, (5,), 10).collect()
+    assert sorted((r.id1, r.id2) for r in got) == [(i, i + 1) for i in range(0, 20, 2)]
+
+
+def test_counts_beyond_a_bigint(spark):
+    from likeness.operators import buckets
+
+    groups = spark.createDataFrame([(1, [7] * 128, [5 * 10 ** 9], [1]), (2, [7] * 127 + [8], [6 * 10 ** 9], [2])],
+                                   "group_id long, sig array<long>, e array<long>, lo array<long>")
+    hist = buckets.histogram(groups, (5,)).unionByName(toppairs._inside(groups, (5,)))
+    out = toppairs.pairs_per_threshold(hist, (5,)).first()
+    assert int(out.n_pairs) == 30 * 10 ** 18 + sum(e * (e - 1) // 2 for e in (5 * 10 ** 9, 6 * 10 ** 9))

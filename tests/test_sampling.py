@@ -35,20 +35,26 @@ def test_single_entity_gives_no_pairs(spark):
     assert sampling.random_pairs(ids).count() == 0
 
 
-def test_small_population_enumerates_every_pair(spark):
+def test_small_population_follows_the_same_rule(spark):
     ids = spark.createDataFrame([(x,) for x in range(10, 25)], "id long")  # 105 pairs
     out = sampling.random_pairs(ids, trials=2, k=100)
+    drawn = sampling.draws(spark, 15, trials=2, per_trial=2000).collect()
     for t in (0, 1):
-        rows = out.where(F.col("trial") == t).collect()
-        assert len(rows) == 100
-        assert sorted(r["draw"] for r in rows) == list(range(100))
-        assert len({(r["id1"], r["id2"]) for r in rows}) == 100
-    full = sampling.random_pairs(ids, trials=1, k=200)
-    assert full.count() == 105
+        first = {}
+        for r in sorted(r for r in drawn if r.trial == t):
+            first.setdefault((10 + min(r.i1, r.i2), 10 + max(r.i1, r.i2)), r.draw)
+        want = sorted((d, *p) for p, d in first.items())[:100]
+        assert sorted((r.draw, r.id1, r.id2) for r in out.where(F.col("trial") == t).collect()) == want
+    assert sampling.random_pairs(ids, trials=1, k=200, per_trial=10).count() == 105
+
+
+def test_dense_index_takes_no_python_rows(spark):
+    plan = sampling.dense_index(spark.range(100).toDF("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
 
 
 def test_short_trials_draw_again(spark):
-    ids = spark.range(50).select(F.col("id"))          # 1,225 pairs: drawn, not enumerated
+    ids = spark.range(50).select(F.col("id"))          # 1,225 pairs
     few = sampling.random_pairs(ids, trials=3, k=100, per_trial=100)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, sampling.random_pairs(ids, trials=3, k=100).collect()))
     assert few.count() == 300

@@ -27,7 +27,7 @@ def test_split_sizes(spark):
 def test_split_is_complete_disjoint_and_deterministic(spark):
     df = _interactions(spark, {u: 5 + u for u in range(1, 30)})
     a = split.assign_split(df)
-    b = split.assign_split(df.repartition(7), heavy_rows=0)
+    b = split.assign_split(df.repartition(7), heavy_rows=3)
     assert a.count() == df.count()
     assert a.select("user_id", "item_id").distinct().count() == df.count()
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
@@ -37,7 +37,7 @@ def test_bucketed_rank_equals_window_rank(spark):
     # one very active entity next to small ones
     df = _interactions(spark, {1: 5000, 2: 7, 3: 12})
     key = split.shuffle_key(F.col("user_id"), F.col("item_id"))
-    ours = split.ranked_within(df, "user_id", key, "item_id", heavy_rows=0).select(
+    ours = split.ranked_within(df, "user_id", key, "item_id", heavy_rows=90).select(
         "user_id", "item_id", "rn")
     w = Window.partitionBy("user_id").orderBy(key, "item_id")
     plain = df.withColumn("rn", F.row_number().over(w)).select("user_id", "item_id", "rn")
@@ -52,8 +52,18 @@ def test_tags_flag(spark):
     assert flags[1000] == 1 and sum(flags.values()) == 1
 
 
-def test_heavy_entity_switches_to_buckets(spark):
+def test_slices_of_a_heavy_entity_give_the_same_split(spark):
     df = _interactions(spark, {1: 300, 2: 6})
-    a = split.assign_split(df, heavy_rows=100)
-    b = split.assign_split(df, heavy_rows=None)
+    a = split.assign_split(df, heavy_rows=7)
+    b = split.assign_split(df)
+    assert a.columns == b.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_a_heavy_entity_is_dealt_over_tasks(spark):
+    df = _interactions(spark, {1: 4000, 2: 9})
+    plan = split.ranked_within(df, "user_id", split.shuffle_key(F.col("user_id"), F.col("item_id")), "item_id",
+                               heavy_rows=100)
+    sizes = [r["count"] for r in plan.groupBy("user_id", (F.col("rn") / 100).cast("int")).count().collect()]
+    assert max(sizes) <= 100 and plan.where("user_id = 1").agg(F.countDistinct("rn"), F.max("rn"), F.min("n")).first()[:] == (
+        4000, 4000, 4000)
