@@ -95,14 +95,14 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _by_cell(batches):
-    """One table per run of equal cell keys in a sorted partition."""
+def by_cell(batches, keys=tuple(CELL)):
+    """One table per run of equal ``keys`` (integers) in a sorted partition."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in CELL])
+        key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in keys])
         cuts = np.r_[0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:]):
             now = tuple(key[:, a].tolist())
@@ -122,7 +122,7 @@ def _reduced(members: DataFrame, groups: DataFrame, spans, make, schema: str) ->
 
     def run(batches):
         reducer = make()
-        for rows in _by_cell(batches):
+        for rows in by_cell(batches):
             cell = _Cell(rows)
             for found in cell.pairs(spans):
                 yield from reducer.add(cell, *found)
