@@ -16,13 +16,19 @@
    fellow member of any key, then every member of a key against the key's
    least member (both linear in a key's size), then the members of a key that
    are still apart against each other: the exact rest, all but empty for
-   groups of near-copies of one document.  Large keys are dealt by (key, block
-   of members).
+   groups of near-copies of one document.  The members of such a key come with
+   their signatures and a long sketch, and numpy compares them inside the task:
+   only pairs of different components whose sketches allow a link leave it, each
+   at the first key the two share.  Large keys are dealt as a triangle of blocks.
+
+Signatures and sketches set a pair aside only if they differ in more slots than
+a pair at the threshold does with probability 1e-9 or so (``limit``);
+``sketches=False`` confirms every pair that shares a key on the full sets.
 
 Edge cases: a null or empty text, or one without words, has an empty set and
 links with nothing (its component is itself); with fewer words than a shingle
 the whole sequence is one shingle; rows repeating an id are one vertex; rows
-with a null id are returned with a null component; an empty table gives an
+with a null id are returned with a null component, and kept; an empty table gives an
 empty result.
 """
 
@@ -36,19 +42,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from likeness.llm.common import arrow_map, materialize
+from likeness.llm.common import arrow_map, fresh, materialize
 from likeness.llm.graph import components
+from likeness.operators.buckets import by_cell
 from likeness.session import bounded_broadcast
 
 WORDS, SIMILARITY = 4, 80          # shingle length and per cent of the query
 CHUNKS, SLOTS = 12, 6              # 72 slots of 16 bits
 RADIUS = 2 * CHUNKS - 1
-SKETCH_DISTANCE = 36               # slots that may differ before a pair is set aside unread:
-#                                    at similarity 0.8, P(more) < 1e-8 (mean 14.4, sd 3.4)
-SMALL_KEY = 64                     # members up to which a key is paired in one piece
+LONG_SLOTS = 512                   # 8-bit slots of the long sketch
+SIGMAS = 6.4                       # see limit
+BLOCK = 2048                       # members of a block of a large key
+SLICE = 1 << 22                    # slot comparisons held in memory at once
 
 _ODD = np.random.default_rng(42).integers(0, 2**63, CHUNKS * SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(43).integers(0, 2**63, CHUNKS * SLOTS, dtype=np.uint64)
+_LONG_ODD = np.random.default_rng(46).integers(0, 2**63, LONG_SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LONG_ADD = np.random.default_rng(47).integers(0, 2**63, LONG_SLOTS, dtype=np.uint64)
 
 
 class _WordHashes(dict):
@@ -71,25 +81,40 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     split at ASCII white space, A-Z lower-cased."""
     if len(_HASHES) > 400_000:
         _HASHES.clear()
-    parts = (text or "").encode().lower().split()
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return np.zeros(0, np.uint64)
     one = np.fromiter(map(_HASHES.__getitem__, parts), np.uint64, len(parts))
     n = max(1, len(one) - words + 1)
     out = np.zeros(n, np.uint64)
     for k in range(min(words, len(one))):
-        out = _mix(out + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k + 1) + one[k:k + n])
+        out = _mix(out + np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64) + one[k:k + n])
     return np.unique(out)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """16-bit MinHash slots of a non-empty set, in slices of bounded memory."""
-    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
+def _least(found: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarray:
+    least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 2048):
         part = found[at:at + 2048]
-        h = part[None, :] * _ODD[:, None] + _ADD[:, None]
+        h = part[None, :] * odd[:, None] + add[:, None]
         np.minimum(least, (h ^ (h >> np.uint64(32))).min(axis=1), out=least)
-    return (_mix(least) & np.uint64(0xFFFF)).astype("<u2")
+    return _mix(least)
+
+
+def signature(found: np.ndarray) -> np.ndarray:
+    """16-bit MinHash slots of a non-empty set, in slices of bounded memory."""
+    return (_least(found, _ODD, _ADD) & np.uint64(0xFFFF)).astype("<u2")
+
+
+def long_sketch(found: np.ndarray) -> np.ndarray:
+    """8-bit MinHash slots of a non-empty set."""
+    return (_least(found, _LONG_ODD, _LONG_ADD) & np.uint64(0xFF)).astype(np.uint8)
+
+
+def limit(slots: int, similarity: int) -> int:
+    """Slots in which a pair at the threshold still differs, all but surely."""
+    share = similarity / 100
+    return int(slots * (1 - share) + SIGMAS * (slots * share * (1 - share)) ** 0.5)
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -113,30 +138,36 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return arrow_map(source, run, "doc_id long, n_shingles long, digest binary, sig binary")
 
 
+_WEIGHT = np.random.default_rng(44).integers(0, 2**63, (CHUNKS, SLOTS), dtype=np.uint64) | np.uint64(1)
+_SALT = np.random.default_rng(45).integers(0, 2**63, (CHUNKS, SLOTS), dtype=np.uint64)
+
+
+def _keys_of(sig: np.ndarray) -> np.ndarray:
+    """The keys of each signature: (rows, CHUNKS * SLOTS)."""
+    each = _mix(sig.reshape(-1, CHUNKS, SLOTS).astype(np.uint64) + _SALT) * _WEIGHT
+    return _mix(each.sum(axis=2, dtype=np.uint64)[:, :, None] - each + _SALT).reshape(len(sig), -1).view(np.int64)
+
+
 def chunk_keys(reps: DataFrame) -> DataFrame:
     """(key, id): per representative and chunk, one key per slot left out."""
-    weight = np.random.default_rng(44).integers(0, 2**63, (CHUNKS, SLOTS), dtype=np.uint64) | np.uint64(1)
-    salt = np.random.default_rng(45).integers(0, 2**63, (CHUNKS, SLOTS), dtype=np.uint64)
-
     def run(batch):
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(-1, CHUNKS, SLOTS)
-        each = _mix(sig.astype(np.uint64) + salt) * weight
-        key = _mix(each.sum(axis=2, dtype=np.uint64)[:, :, None] - each + salt)
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(-1, CHUNKS * SLOTS)
         ids = np.repeat(batch.column("id").to_numpy(), CHUNKS * SLOTS)
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], ["key", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(_keys_of(sig).ravel()), pa.array(ids)], ["key", "id"])
 
     return arrow_map(reps.select("id", "sig"), run, "key long, id long")
 
 
-def _near(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
+def _near(pairs: DataFrame, reps: DataFrame, similarity: int, sketches: bool = True) -> DataFrame:
     """Distinct pairs whose sizes and signatures allow a link.  Joins carry
     the short signatures, never texts."""
     sketch = reps.select("id", "n", "sig")
+    most = limit(CHUNKS * SLOTS, similarity) if sketches else CHUNKS * SLOTS
 
     def run(batch):
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1)
                 for c in ("sig1", "sig2"))
-        yield batch.filter(pa.array((a != b).sum(axis=1) <= SKETCH_DISTANCE)).select(["id1", "id2"])
+        yield batch.filter(pa.array((a != b).sum(axis=1) <= most)).select(["id1", "id2"])
 
     sized = (pairs.select("id1", "id2").distinct()
              .join(sketch.toDF("id1", "n1", "sig1"), "id1").join(sketch.toDF("id2", "n2", "sig2"), "id2")
@@ -170,12 +201,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: int) -
     return arrow_map(met, run, "id1 long, id2 long")
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The links among ``pairs``.  The ids asked for are broadcast against the
+def _links(near: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """The links among ``near`` pairs.  The ids asked for are broadcast against the
     texts only while they are few (a checked count); else the texts shuffle."""
-    near = materialize(_near(pairs, reps, similarity), "near-pairs")
-    asked = materialize(near.select(F.col("id1").alias("id")).union(near.select("id2")).distinct(), "asked")
-    return _confirmed(near, docs.join(bounded_broadcast(asked), "id", "left_semi"), words, similarity)
+    near = materialize(near, "near-pairs")
+    return _confirmed(near, _asked(near, docs), words, similarity)
+
+
+def _asked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    ids = materialize(pairs.select(F.col("id1").alias("id")).union(pairs.select("id2")).distinct(), "asked")
+    return docs.join(bounded_broadcast(ids), "id", "left_semi")
 
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -184,27 +219,91 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
             .where("coalesce(c1, id1) <> coalesce(c2, id2)").select("id1", "id2"))
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of members of one key in different components.  ``members``:
-    key, id, hub, component.  Pairs with the hub were tested before.  A small key is one piece; a large one is dealt as
-    pairs of blocks of about ``SMALL_KEY`` members, so no task gets a whole
-    large key."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    dealt = members.join(sizes, "key").withColumn(
-        "blocks", F.ceil(F.col("size") / SMALL_KEY).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = dealt.select("key", "block", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"),
-                        F.col("id").alias("a"), "hub", F.col("component").alias("ca"))
-    right = dealt.select("key", F.col("block").alias("other"),
-                         F.explode(F.sequence(F.lit(0), "block")).alias("block"),
-                         F.col("id").alias("b"), F.col("component").alias("cb"))
-    met = left.join(right, ["key", "block", "other"]).where(
-        "ca <> cb and a <> hub and b <> hub and (block <> other or a < b)")
-    return met.select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2"))
+def _sketched(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, sketch) of the given documents."""
+    def run(batch):
+        made = [long_sketch(shingles(t, words)).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], ["id", "sketch"])
+
+    return arrow_map(docs.join(bounded_broadcast(ids), "id", "left_semi").select("id", "text"), run,
+                     "id long, sketch binary")
+
+
+def cells(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``members`` (key, id) once per cell they take part in: of a key's members,
+    dealt to blocks of about ``block``, each pair of blocks is a cell (low, high);
+    ``side`` is 1 for those of the higher block."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return (members.join(sizes, "key").withColumn("own", own).withColumn("other", other)
+            .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+            .withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("blocks", "own", "other"))
+
+
+def _meet(rows: pa.Table, most: int, most_long: int, similarity: int):
+    """Slices of (id1, id2): the cell's pairs of different components that its key
+    is the first to bring together and whose sketches allow a link."""
+    matrix = lambda c, t: np.frombuffer(b"".join(rows.column(c).to_pylist()), t).reshape(rows.num_rows, -1)
+    ids, comp, n = (rows.column(c).to_numpy() for c in ("id", "component", "n"))
+    sig, sketch = matrix("sig", "<u2"), matrix("sketch", np.uint8)
+    place = int(np.flatnonzero(_keys_of(sig[:1])[0] == rows.column("key")[0].as_py())[0])
+    if rows.column("low")[0].as_py() == rows.column("high")[0].as_py():
+        # pairs inside the largest component are linked already: its members are met, but meet nobody
+        names, at, size = np.unique(comp, return_inverse=True, return_counts=True)
+        few, right = np.flatnonzero(at != size.argmax()), np.arange(len(ids))
+        once = np.full(len(ids), -1)
+        once[few] = few
+    else:
+        side = rows.column("side").to_numpy()
+        few, right, once = np.flatnonzero(side == 0), np.flatnonzero(side == 1), None
+    step = max(1, SLICE // (CHUNKS * SLOTS * max(1, len(right))))
+    for a in range(0, len(few), step):
+        left = few[a:a + step]
+        ok = comp[left][:, None] != comp[right][None, :]
+        if once is not None:
+            ok &= (once[right] < 0)[None, :] | (left[:, None] < right[None, :])
+        low, high = (f(n[left][:, None], n[right][None, :]) for f in (np.minimum, np.maximum))
+        ok &= low * 100 >= high * similarity
+        i, j = np.nonzero(ok)
+        if not len(i):
+            continue
+        i, j = left[i], right[j]
+        for b in range(0, len(i), SLICE // LONG_SLOTS):
+            x, y = i[b:b + SLICE // LONG_SLOTS], j[b:b + SLICE // LONG_SLOTS]
+            differs = sig[x] != sig[y]
+            chunk = differs.reshape(len(x), CHUNKS, SLOTS)
+            near = chunk.sum(axis=2) <= 1
+            first = near.argmax(axis=1)
+            hit = chunk[np.arange(len(x)), first]
+            own = near.any(axis=1) & (first * SLOTS + np.where(hit.any(axis=1), hit.argmax(axis=1), 0) == place)
+            own &= differs.sum(axis=1) <= most
+            x, y = x[own], y[own]
+            close = (sketch[x] != sketch[y]).sum(axis=1) <= most_long
+            yield np.minimum(ids[x[close]], ids[y[close]]), np.maximum(ids[x[close]], ids[y[close]])
+
+
+def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, similarity: int,
+            sketches: bool = True) -> DataFrame:
+    """(id1, id2): pairs of members (key, id, component) of one key in different
+    components that may be linked, each once."""
+    ids = materialize(members.select("id").distinct(), "mixed-ids")
+    known = materialize(reps.select("id", "n", "sig").join(_sketched(ids, docs, words), "id"), "mixed-sketches")
+    most, most_long = ((limit(CHUNKS * SLOTS, similarity), limit(LONG_SLOTS, similarity)) if sketches
+                       else (CHUNKS * SLOTS, LONG_SLOTS))
+    order = ["key", "low", "high"]
+
+    def run(batches):
+        for rows in by_cell(batches, order):
+            for a, b in _meet(rows, most, most_long, similarity):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id1", "id2"])
+
+    return (cells(members).join(known, "id").repartition(*order).sortWithinPartitions(*order)
+            .select(*order, "side", "id", "component", "n", "sig", "sketch").mapInArrow(run, "id1 long, id2 long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    similarity: int = SIMILARITY) -> DataFrame:
+                    similarity: int = SIMILARITY, sketches: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per distinct id."""
     found = materialize(signatures(docs, id_col, text_col, words), "signatures")
     sets = found.where("doc_id is not null and digest is not null")
@@ -215,7 +314,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .where("low <> high").select("doc_id"))
     shared = (sets.join(several, "doc_id", "left_semi").join(reps.select("digest", "id"), "digest")
               .select(F.col("doc_id").alias("id1"), F.col("id").alias("id2")).distinct())
-    # only the text whose set the representative stands for: by digest where an id repeats
+    # an id that repeats brings all its texts: links of any of them are its own
     source = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
@@ -226,41 +325,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # each pass reads only pairs whose ends still lie in different components
     spokes = members.where("id <> hub").select(F.col("hub").alias("id1"), F.col("id").alias("id2"))
     first = spokes.groupBy("id2").agg(F.min("id1").alias("id1")).select("id1", "id2")
-    links = materialize(shared.union(_links(first, reps, source, words, similarity)), "links-1")
+    links = materialize(shared.union(_links(_near(first, reps, similarity, sketches), source, words, similarity)), "links-1")
     label = materialize(components(links, "id1", "id2"), "labels-1")
 
     second = _apart(spokes.distinct().join(first, ["id1", "id2"], "left_anti"), label)
-    links = materialize(links.union(_links(second, reps, source, words, similarity)), "links-2")
+    links = materialize(links.union(_links(_near(second, reps, similarity, sketches), source, words, similarity)), "links-2")
     label = materialize(components(links, "id1", "id2"), "labels-2")
 
     placed = (members.join(label, "id", "left")
               .select("key", "id", "hub", F.coalesce("component", "id").alias("component")))
     mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("key"))
-    third = _across(materialize(placed.join(mixed, "key", "left_semi"), "mixed-keys"))
-    links = materialize(links.union(_links(third, reps, source, words, similarity)), "links-3")
+    apart = materialize(placed.join(mixed, "key", "left_semi").select("key", "id", "component"), "mixed-keys")
+    third = _across(apart, reps, source, words, similarity, sketches)
+    links = materialize(links.union(_links(third, source, words, similarity)), "links-3")
     whole = materialize(components(links, "id1", "id2"), "labels-3")
 
     vertices = found.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("digest").alias("digest"))
     rep = vertices.join(reps.select("digest", "id"), "digest", "left")
     named = rep.join(whole, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+        .alias("component_id"))
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
              similarity: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without all but one of each group: the smallest id
-    stays, and of rows repeating an id the smallest row.  Rows without an id
-    cannot be named as anyone's copy and stay."""
+    stays, and of rows repeating an id the one whose JSON text is smallest.  Rows
+    without an id cannot be named as anyone's copy and stay."""
+    name = fresh(docs, "near_id")
     found = near_duplicates(docs, id_col, text_col, words, similarity)
-    gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("__id"))
-    rows = docs.join(gone, F.col(f"`{id_col}`").cast("bigint") == F.col("__id"), "left_anti")
-    key = F.col(f"`{id_col}`").alias("__id")
-    again = (docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-             .where("__n > 1").select("__id"))
-    single = rows.join(again, F.col(f"`{id_col}`") == F.col("__id"), "left_anti")
-    least = (rows.join(again, F.col(f"`{id_col}`") == F.col("__id"), "left_semi")
-             .groupBy(key).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row"))
-             .select("__row.*"))
-    return single.unionByName(least)
+    gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias(name))
+    rows = docs.withColumn(name, F.col(f"`{id_col}`").cast("bigint")).join(gone, name, "left_anti")
+    again = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias(name)).where(F.col(name).isNotNull())
+             .groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    least = (rows.join(again, name, "left_semi").groupBy(name)
+             .agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*"))
+    return rows.join(again, name, "left_anti").drop(name).unionByName(least)

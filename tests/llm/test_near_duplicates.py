@@ -1,5 +1,7 @@
 import re
+from functools import partial
 
+import numpy as np
 import pytest
 
 from likeness.llm import near_duplicates as nd
@@ -25,7 +27,7 @@ def brute(texts, words=4, similarity=80):
     for i, s in sets.items():
         for g in s:
             by.setdefault(g, []).append(i)
-    pairs = {(a, b) for ids in by.values() if len(ids) < 400 for a in ids for b in ids if a < b}
+    pairs = {(a, b) for ids in by.values() for a in ids for b in ids if a < b}
     for a, b in pairs:
         both = len(sets[a] & sets[b])
         if 100 * both >= similarity * (len(sets[a]) + len(sets[b]) - both):
@@ -47,7 +49,7 @@ def test_edge_rows(spark):
     out = {r.doc_id: r for r in nd.near_duplicates(docs(spark, texts)).collect()}
     assert [out[i].component_id for i in range(10)] == [0, 1, 2, 3, 3, 5, 6, 6, 6, 9]
     assert [out[i].n_shingles for i in (0, 1, 2, 3, 5)] == [0, 0, 0, 1, 1]
-    assert out[None].component_id is not None or out[None].component_id is None
+    assert out[None].component_id is None and out[None].kept
     assert [i for i in range(10) if not out[i].kept] == [4, 7, 8]
 
 
@@ -62,11 +64,51 @@ def test_one_large_group_and_repeated_ids(spark):
     assert {r.component_id for r in out if r.doc_id >= 300} == {300}
 
 
-def test_blocks_of_a_large_key_meet_once(spark, monkeypatch):
-    monkeypatch.setattr(nd, "SMALL_KEY", 4)
-    m = spark.createDataFrame([(7, i, 0, i) for i in range(30)], "key long, id long, hub long, component long")
-    got = [(r.id1, r.id2) for r in nd._across(m).collect()]
-    assert len(got) == len(set(got)) == 29 * 28 // 2
+def family(n=260, words=120, seed=3):
+    """Near copies of one text at all distances, many of them linked with nobody."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        text = list(base)
+        for at in rng.choice(words, rng.integers(0, 14), replace=False):
+            text[at] = f"x{k}-{at}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("block", [nd.BLOCK, 16])
+def test_a_family_of_far_and_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(nd, "cells", partial(nd.cells, block=block))
+    texts = family() + ["one two three four five " * 3] * 3
+    want = brute(dict(enumerate(texts)))
+    assert 20 < len({c for _, c in want.values()}) < 250
+    for sketches in (True, False):
+        got = nd.near_duplicates(docs(spark, texts).where("doc_id is not null"), sketches=sketches).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_a_pair_leaves_at_one_key_alone(spark, monkeypatch):
+    """Every pair of different components that shares a key, once, in any dealing."""
+    texts = family(60, seed=8)
+    d = docs(spark, texts).where("doc_id is not null").selectExpr("doc_id id", "text")
+    found = nd.signatures(d, "id").selectExpr("doc_id id", "n_shingles n", "sig")
+    sig = {r.id: np.frombuffer(bytes(r.sig), "<u2") for r in found.collect()}
+    keys = {i: set(nd._keys_of(s[None, :])[0].tolist()) for i, s in sig.items()}
+    want = {(a, b) for a in sig for b in sig if a < b and a % 7 != b % 7 and keys[a] & keys[b]}
+    members = nd.chunk_keys(found).selectExpr("key", "id", "id % 7 component")
+    for block in (nd.BLOCK, 5):
+        monkeypatch.setattr(nd, "cells", partial(nd.cells.func if isinstance(nd.cells, partial) else nd.cells, block=block))
+        got = [(r.id1, r.id2) for r in nd._across(members, found, d, 4, 0, sketches=False).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_rows_with_maps_and_clashing_names(spark):
+    d = spark.sql("""select * from values (1L, 'a b c d e f', map('k', 1), 'x', 1), (1L, 'a b c d e f', map('j', 2), 'x', 1),
+                     (2L, 'A b c d e f', map('k', 1), 'x', 2), (null, 'a b c d e f', null, 'x', 3)
+                     as t(doc_id, text, tags, near_id, n)""")
+    out = nd.keep_one(d).collect()
+    assert nd.keep_one(d).columns == d.columns and sorted((r.doc_id or 0, r.n) for r in out) == [(0, 3), (1, 1)]
 
 
 @pytest.mark.parametrize("edges,want", [
