@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +27,16 @@ from likeness.functions.hashing import (  # noqa: F401  (re-exported parameters)
     SEED,
     element_hash,
     minhash_params,
+    wide_element_hash,
+    wide_params,
+    wide_permute,
 )
+from likeness.session import bounded_broadcast, materialize
 
 
 # Fixed budget: rows of one entity aggregated by one task before it is split
-# into salted slices; and the largest heavy-entity list that is broadcast.
+# into salted slices.
 HEAVY_ROWS = 5_000_000
-HEAVY_BROADCAST_LIMIT = 100_000
 
 
 def _slot_aggs(params, src: str = "h"):
@@ -53,37 +57,90 @@ def signatures(df: DataFrame, entity: str = "user_id", item: str = "item",
     entity is aggregated completely after the shuffle - a map-side partial
     aggregate would ship one 1 KB partial signature per (entity, input
     partition), up to 64x the input for entities spread thin.  Entities with
-    more than ``heavy_rows`` rows are found first (one cheap count) and
-    salted by item hash into ceil(n / heavy_rows) slices, so no task
-    aggregates more than about ``heavy_rows`` rows; their few slice
-    signatures are merged in a second aggregate.
+    more than ``heavy_rows`` rows are found first (one cheap count); their rows
+    are counted by item map-side, so that an item repeated a million times is one
+    row per map task, and salted by item hash into ceil(n / heavy_rows) slices,
+    so no task aggregates more than about ``heavy_rows`` rows; their few
+    slice signatures are merged in a second aggregate.
     """
     params = minhash_params(num_perm, seed)
-    spark = df.sparkSession
-    _ensure_codegen_width(spark, num_perm)
+    _ensure_codegen_width(df.sparkSession, num_perm)
     hashed = df.select(F.col(entity).alias("id"), element_hash(F.col(item)).alias("h"))
-    counts = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("_c"))
-    heavy = counts.where(F.col("_c") > heavy_rows).select(
-        "id", F.ceil(F.col("_c") / F.lit(heavy_rows)).cast("bigint").alias("_slices"))
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        wide = (hashed.repartition("id").groupBy("id")
-                .agg(F.count(F.lit(1)).alias("n"), *_slot_aggs(params)))
-    else:
-        # the heavy list has at most rows / heavy_rows entries; broadcast it
-        # only under a fixed limit, else join by shuffle (AQE splits skew)
-        side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_LIMIT else heavy
-        salted = (hashed.join(side, "id", "left")
-                  .withColumn("_salt", F.col("h") % F.coalesce(F.col("_slices"), F.lit(1)))
-                  .drop("_slices"))
-        part = (salted.repartition("id", "_salt").groupBy("id", "_salt")
-                .agg(F.count(F.lit(1)).alias("_n"), *_slot_aggs(params)))
-        wide = part.groupBy("id").agg(
-            F.sum("_n").alias("n"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(num_perm)])
+    light, heavy = _light_and_heavy(hashed, heavy_rows)
+    slices = (heavy.repartition("id", "salt").groupBy("id", "salt")
+              .agg(F.sum("c").alias("_n"), *_slot_aggs(params)))
+    merged = slices.groupBy("id").agg(
+        F.sum("_n").alias("n"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(num_perm)])
+    wide = (light.repartition("id").groupBy("id").agg(F.count(F.lit(1)).alias("n"), *_slot_aggs(params))
+            .unionByName(merged))
     return wide.select("id", "n",
                        F.array(*[F.col(f"s{i}") for i in range(num_perm)]).alias("sig"))
 
 
+def _light_and_heavy(hashed: DataFrame, heavy_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``hashed`` (id, h) of light entities, and those of heavy ones
+    counted by item and spread over slices: (id, h, salt, c)."""
+    counts = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("_c"))
+    heavy = materialize(counts.where(F.col("_c") > heavy_rows).select(
+        "id", F.ceil(F.col("_c") / F.lit(heavy_rows)).cast("bigint").alias("_slices")), "heavy-entities")
+    # at most rows / heavy_rows entries: broadcast under a checked size, else a shuffle join
+    side = bounded_broadcast(heavy)
+    split = hashed.join(side, "id").groupBy("id", "h").agg(
+        F.count(F.lit(1)).alias("c"), F.first("_slices").alias("_slices"))
+    return (hashed.join(side.select("id"), "id", "left_anti"),
+            split.select("id", "h", (F.col("h") % F.col("_slices")).alias("salt"), "c"))
+
+
+def wide_signatures(df: DataFrame, entity: str = "user_id", item: str = "item", num_perm: int = NUM_PERM,
+                    seed: int = SEED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """(id, n, sig) like ``signatures``, over 60-bit element hashes and the
+    modulus 2^61 - 1 (F3).  The rows of an entity meet sorted in one task, which
+    folds them into one signature with numpy; the slices of a heavy entity are
+    merged by the smallest value of each slot."""
+    params = wide_params(num_perm, seed)
+    hashed = df.select(F.col(entity).alias("id"), wide_element_hash(F.col(item)).alias("h"))
+
+    def run(batches):
+        last, n, least = None, 0, None
+        for batch in batches:
+            ids, salt, h, c = (batch.column(k).to_numpy() for k in range(4))
+            start = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (salt[1:] != salt[:-1])])
+            made = np.empty((len(start), num_perm), np.int64)
+            h = h.astype(np.uint64)
+            for k, (a, b) in enumerate(params):
+                made[:, k] = np.minimum.reduceat(wide_permute(h, a, b), start).astype(np.int64)
+            sizes = np.add.reduceat(c, start)
+            keys = list(zip(ids[start].tolist(), salt[start].tolist()))
+            if last == keys[0]:                       # the last batch's entity goes on
+                sizes[0] += n
+                np.minimum(made[0], least, out=made[0])
+            elif last is not None:
+                yield _signature_rows([last[0]], [n], least[None, :])
+            if len(keys) > 1:
+                yield _signature_rows([i for i, _ in keys[:-1]], sizes[:-1], made[:-1])
+            last, n, least = keys[-1], int(sizes[-1]), made[-1]
+        if last is not None:
+            yield _signature_rows([last[0]], [n], least[None, :])
+
+    def folded(rows):
+        return (rows.select("id", "salt", "h", "c").repartition("id", "salt").sortWithinPartitions("id", "salt")
+                .mapInArrow(run, "id long, n long, sig array<long>"))
+
+    one = F.lit(1).cast("bigint")
+    light, heavy = _light_and_heavy(hashed, heavy_rows)
+    merged = folded(heavy).groupBy("id").agg(F.sum("n").alias("n"), F.array(*[
+        F.min(F.col("sig")[k]) for k in range(num_perm)]).alias("sig"))
+    return folded(light.withColumn("salt", one - 1).withColumn("c", one)).unionByName(merged)
+
+
+def _signature_rows(ids, sizes, made) -> pa.RecordBatch:
+    flat = pa.array(made.ravel())
+    offsets = pa.array(np.arange(0, made.size + 1, made.shape[1], dtype=np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
+        ["id", "n", "sig"])
+
+
 def _ensure_codegen_width(spark, num_perm: int) -> None:
     # one aggregate with num_perm + 1 outputs: keep it inside whole-stage
     # codegen (the default field limit of 100 would drop it to the

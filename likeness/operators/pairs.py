@@ -63,13 +63,13 @@ def correlation(common: DataFrame, pairs: DataFrame, keys: list[str] = PAIR_KEYS
               .when(F.col("lo1") == F.col("hi1"), F.lit("constant_user1"))
               .when(F.col("lo2") == F.col("hi2"), F.lit("constant_user2"))
               .otherwise(F.lit("ok")))
-    sample_src = common.select(F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
-                               .alias("_pk"), "item")
-    sample = first_items(sample_src, "_pk", "item", SAMPLE_SIZE, "constant_items")
-    out = (pairs.select(*keys).distinct().join(g, keys, "left")
-           .withColumn("status", status)
-           .withColumn("_pk", F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
-           .join(sample, "_pk", "left"))
+    out = pairs.select(*keys).distinct().join(g, keys, "left").withColumn("status", status)
+    # the items of the pairs with a constant side alone are listed
+    pair_key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("_pk")
+    constant = g.withColumn("status", status).where(F.col("status").startswith("constant")).select(*keys)
+    sample = first_items(common.join(constant, keys, "left_semi").select(pair_key, "item"), "_pk", "item",
+                         SAMPLE_SIZE, "constant_items")
+    out = out.withColumn("_pk", pair_key).join(sample, "_pk", "left")
     corr = F.when(F.col("status") == "ok", F.col("_r"))
     return out.select(
         *keys,

@@ -65,8 +65,14 @@ def item_lists(df: DataFrame, entity: str = "user_id", item: str = "item_id",
             .select("user_id", "chunk", F.col("_l.i").alias("items"), F.col("_l._c").alias("times")))
 
 
+def item_counts(df: DataFrame, entity: str = "user_id", item: str = "item_id") -> DataFrame:
+    """(user_id, n_items): the size of every entity's item set."""
+    return df.select(entity, item).distinct().groupBy(F.col(entity).alias("user_id")).agg(
+        F.count(item).alias("n_items"))
+
+
 def audit(sets: DataFrame) -> DataFrame:
-    """A2 over every row: ids unique, no entity without items."""
+    """A2 over every row of (user_id, n_items): ids unique, no entity without items."""
     return sets.agg(
         F.countDistinct("user_id").alias("unique_users"),
         F.count(F.lit(1)).alias("row_count"),

@@ -38,7 +38,7 @@ def q_item_lists(spark, sf_dir):
 
 
 def q_grouped_audit(spark, sf_dir):
-    return sets.audit(sets.item_sets(tables.ratings_raw(spark, sf_dir), "user_id", "item_id"))
+    return sets.audit(sets.item_counts(tables.ratings_raw(spark, sf_dir), "user_id", "item_id"))
 
 
 def q_pair_validation(spark, sf_dir):

@@ -95,8 +95,9 @@ def q_beta_sweep(spark, sf_dir):
 
 def q_best_beta_test(spark, sf_dir):
     s, stats, sw = _sweep(spark, sf_dir)
-    best = popularity.best_beta(sw).cache()
-    b = best.first()["best_beta"]
+    row = popularity.best_beta(sw).first()           # one row
+    best = spark.createDataFrame([tuple(row)], "best_beta bigint, val_ndcg double")
+    b = row["best_beta"]
     lst = popularity.topk_lists(stats, [b]).select(
         "rank", F.col("item_id").alias("item"))
     test = ranking.mean_ndcg(lst, _truth(s, ["test"]).drop("split"), popularity.TOP_K)

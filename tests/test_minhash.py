@@ -239,3 +239,47 @@ def test_counts_beyond_a_bigint(spark):
     hist = buckets.histogram(groups, (5,)).unionByName(toppairs._inside(groups, (5,)))
     out = toppairs.pairs_per_threshold(hist, (5,)).first()
     assert int(out.n_pairs) == 30 * 10 ** 18 + sum(e * (e - 1) // 2 for e in (5 * 10 ** 9, 6 * 10 ** 9))
+
+
+def test_wide_permutation_is_exact():
+    import random
+
+    import numpy as np
+
+    from likeness.functions.hashing import WIDE_PRIME, wide_permute
+
+    rng = random.Random(1)
+    edge = [0, 1, (1 << 31) - 1, 1 << 31, (1 << 60) - 1, WIDE_PRIME - 1]
+    h = edge + [rng.randrange(WIDE_PRIME) for _ in range(500)]
+    for a in [1, WIDE_PRIME - 1, 1 << 31] + [rng.randrange(1, WIDE_PRIME) for _ in range(20)]:
+        b = rng.choice([0, WIDE_PRIME - 1, rng.randrange(WIDE_PRIME)])
+        got = wide_permute(np.array(h, np.uint64), a, b).tolist()
+        assert got == [(a * x + b) % WIDE_PRIME for x in h]
+
+
+def test_wide_signatures_in_slices_and_batches(spark):
+    from likeness.functions.hashing import WIDE_PRIME, wide_params
+
+    sets = {1: list(range(300)) + list(range(100)), 2: [3, 4, 5], 3: list(range(50, 130)), -7: [9] * 50}
+    inter = _long(spark, sets)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
+    try:
+        plain = {r.id: (r.n, r.sig) for r in minhash.wide_signatures(inter).collect()}
+        salted = {r.id: (r.n, r.sig) for r in minhash.wide_signatures(inter, heavy_rows=40).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert plain == salted and {i: n for i, (n, _) in plain.items()} == {e: len(v) for e, v in sets.items()}
+    import hashlib
+    h = [int(hashlib.md5(str(x).encode()).hexdigest()[:15], 16) for x in sets[2]]
+    assert plain[2][1] == [min((a * x + b) % WIDE_PRIME for x in h) for a, b in wide_params()]
+
+
+def test_one_pair_repeated_very_often_is_counted_before_it_moves(spark):
+    rows = spark.range(200_000).selectExpr("1L user_id", "7L item").union(
+        spark.range(50).selectExpr("1L user_id", "id item"))
+    for make in (minhash.signatures, minhash.wide_signatures):
+        got = make(rows, heavy_rows=1000).first()
+        assert (got.id, got.n) == (1, 200_050)
+        assert got.sig == make(spark.range(50).selectExpr("1L user_id", "id item")).first().sig
+    split = minhash._light_and_heavy(rows.selectExpr("user_id id", "item h"), 1000)[1]
+    assert split.count() == 50
