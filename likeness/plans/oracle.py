@@ -4,7 +4,8 @@ compaction, per-pair expansion, plain windows)."""
 
 from __future__ import annotations
 
-from likeness.functions.hashing import MERSENNE_PRIME, NUM_BANDS, ROWS_PER_BAND, minhash_params
+from likeness.functions.hashing import (MERSENNE_PRIME, NUM_BANDS, ROWS_PER_BAND, WIDE_PRIME, minhash_params,
+                                        wide_params)
 from likeness.operators.sets import CHUNK_SIZE
 from likeness.operators.toppairs import THRESHOLDS, TOP_K
 
@@ -58,6 +59,18 @@ ent AS (SELECT {entity} AS id, count(*) AS n FROM {src} GROUP BY {entity}),
 sig AS (SELECT id, list(h ORDER BY perm) AS s FROM sig_long GROUP BY id)"""
 
 
+def _wide_signatures(src: str, entity: str, item: str) -> str:
+    """Like ``_signatures``, over 60-bit hashes modulo 2^61 - 1."""
+    rows = ", ".join(f"({i}, {a}::HUGEINT, {b}::HUGEINT)" for i, (a, b) in enumerate(wide_params()))
+    return f"""perms(perm, a, b) AS (VALUES {rows}),
+eh AS (SELECT DISTINCT {entity} AS id, {_h60(item)} AS h FROM {src}),
+sig_long AS (
+  SELECT e.id, p.perm, min((e.h::HUGEINT * p.a + p.b) % {WIDE_PRIME}::HUGEINT)::BIGINT AS h
+  FROM eh e CROSS JOIN perms p GROUP BY e.id, p.perm),
+ent AS (SELECT {entity} AS id, count(*) AS n FROM {src} GROUP BY {entity}),
+sig AS (SELECT id, list(h ORDER BY perm) AS s FROM sig_long GROUP BY id)"""
+
+
 def _bands(src: str, id_col: str, name: str) -> str:
     r = ROWS_PER_BAND
     return f"""{name} AS (
@@ -106,8 +119,19 @@ named AS (
   JOIN sig b ON b.id = sc.id2 JOIN grp g2 ON g2.s = b.s)"""
 
 
-def top_pairs_sql() -> str:
-    return "WITH " + ",\n".join([similarity_brute_force(), _th()]) + f""",
+PART_SIZES = ORDER_LINES + """,
+part_sizes AS (SELECT user_id, CAST(p_size AS BIGINT) AS item FROM order_lines JOIN part ON p_partkey = item_id
+               WHERE p_size IS NOT NULL)"""
+
+
+def users_brute_force() -> str:
+    """All users banded, over wide signatures."""
+    return ",\n".join([PART_SIZES, _wide_signatures("part_sizes", "user_id", "item"), _bands("sig", "id", "bands"),
+                       _candidates("bands", "cand"), _scored("cand", "scored")])
+
+
+def top_pairs_sql(source: str | None = None) -> str:
+    return "WITH " + ",\n".join([source or similarity_brute_force(), _th()]) + f""",
 top AS (
   SELECT t.min_ratings::BIGINT AS min_ratings,
          row_number() OVER (PARTITION BY t.min_ratings
@@ -220,6 +244,23 @@ GROUP BY t.min_ratings"""
     q["csv_roundtrip"] = ("SELECT id1, id2, estimated_jaccard, n1, n2 FROM (" + top_pairs_sql()
                           + ") r WHERE min_ratings = 50")
 
+    q["user_signatures"] = "WITH " + PART_SIZES + ",\n" + _wide_signatures("part_sizes", "user_id", "item") + """
+SELECT id, perm::BIGINT AS perm, h FROM sig_long"""
+    q["similar_users"] = top_pairs_sql(users_brute_force())
+
+    # the ratings file: what its good lines hold, and the faults of the others
+    csv_lines = """WITH file_lines AS (
+  SELECT CAST(o_custkey AS BIGINT) AS user_id, CAST(l_partkey AS BIGINT) AS item_id,
+         ceil(l_quantity / 5.0) / 2.0 AS rating, (l_orderkey * 7 + l_linenumber) % 41 AS fault
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL)"""
+    q["ratings_from_csv"] = csv_lines + """
+SELECT user_id, item_id, rating FROM file_lines WHERE fault NOT BETWEEN 1 AND 5"""
+    q["ratings_csv_rejects"] = csv_lines + """
+SELECT CASE WHEN fault = 5 THEN 'fields' WHEN fault = 1 THEN 'userId' WHEN fault = 2 THEN 'movieId'
+            ELSE 'rating' END AS reason, count(*)::BIGINT AS n_lines
+FROM file_lines WHERE fault BETWEEN 1 AND 5 GROUP BY 1"""
+
     # item sets over every order line
     q["grouped_items"] = "WITH " + RATINGS_RAW + f""",
 per_item AS (SELECT user_id, item_id, count(*) AS c FROM ratings_raw GROUP BY 1, 2),
@@ -369,6 +410,40 @@ SELECT split, count(*)::BIGINT AS n_users, round(avg(ndcg_hits), 6) AS ndcg_hits
        round(avg(ndcg_truth), 6) AS ndcg_truth
 FROM pu GROUP BY split"""
 
+    # personal lists: the favourite brand's most popular parts
+    personal = stats + """,
+brands AS (SELECT CAST(p_partkey AS BIGINT) AS item_id, p_brand AS grp FROM part
+           WHERE p_partkey IS NOT NULL AND p_brand IS NOT NULL),
+taste AS (SELECT user_id, grp, sum(rating) AS s, count(*) AS n FROM sp JOIN brands USING (item_id)
+          WHERE split = 'train' GROUP BY 1, 2),
+fav AS (SELECT user_id, grp FROM taste
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY s DESC, grp) = 1
+        AND sum(n) OVER (PARTITION BY user_id) >= 30),
+glists AS (SELECT grp, item_id AS item, row_number() OVER (
+             PARTITION BY grp ORDER BY rating_sum / (rating_count + 250) DESC, item_id) AS rank
+           FROM stats JOIN brands USING (item_id) QUALIFY rank <= 20),
+recs AS (SELECT user_id, rank, item FROM fav JOIN glists USING (grp))"""
+    q["personal_lists"] = personal + """
+SELECT user_id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY rank) AS items FROM recs GROUP BY user_id"""
+    q["personal_ndcg"] = personal + f""",
+ptruth AS (SELECT DISTINCT split, user_id, item_id AS item FROM sp WHERE split IN ('val', 'test') AND rating >= 4.0),
+sizes AS (SELECT split, user_id, count(*) AS n FROM ptruth GROUP BY 1, 2),
+phits AS (SELECT t.split, t.user_id, count(*) AS h, sum(1.0 / log2(r.rank + 1)) AS dcg
+          FROM ptruth t JOIN recs r USING (user_id, item) GROUP BY 1, 2),
+listed AS (SELECT DISTINCT user_id FROM recs),
+met AS (SELECT s.split, s.user_id, s.n, coalesce(h.h, 0) AS h, coalesce(h.dcg, 0.0) AS dcg
+        FROM sizes s JOIN listed USING (user_id) LEFT JOIN phits h USING (split, user_id))
+SELECT split, count(*)::BIGINT AS n_users,
+       ((SELECT count(*) FROM sizes z WHERE z.split = met.split) - count(*))::BIGINT AS n_truth_only,
+       ((SELECT count(*) FROM listed) - count(*))::BIGINT AS n_lists_only,
+       round(avg(CASE WHEN h = 0 THEN 0.0 ELSE dcg / {_idcg('h')} END), 6) AS ndcg_hits,
+       round(avg(dcg / {_idcg('least(n, 20)')}), 6) AS ndcg_truth
+FROM met GROUP BY split"""
+    q["split_roundtrip"] = sp + """
+SELECT user_id, item_id, rating, split FROM sp WHERE split = 'test' OR (split = 'val' AND rating >= 1.0)"""
+    q["metric_results"] = sweep + f"""
+SELECT beta::BIGINT AS beta, {TOP_K}::BIGINT AS k, round(ndcg, 6) AS val_ndcg FROM sw WHERE beta IN (250, 500)"""
+
     # backfill on documents
     dsp = "WITH " + DOC_TERMS + ",\n" + _split_cte("doc_terms", "item", "dsp") + """,
 cold AS (SELECT DISTINCT h.split, h.item FROM dsp h WHERE h.split <> 'train'

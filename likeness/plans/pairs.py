@@ -117,3 +117,23 @@ def q_csv_roundtrip(spark, sf_dir):
                               F.col("n1").alias("user1_ratings"),
                               F.col("n2").alias("user2_ratings")), path)
     return files.read_pairs_csv(spark, path)
+
+
+def _ratings_file(spark, sf_dir):
+    """The lines of a written ratings file, read with its declared schema."""
+    paths = [os.path.join(sf_dir, f"{n}.parquet") for n in ("lineitem", "orders")]
+
+    def build():
+        path = scratch_path(spark, "ratings_csv")
+        tables.ratings_lines(spark, sf_dir).write.text(path)
+        return files.read_ratings_csv(spark, path, header=False)
+    return written(spark, "ratings_file", paths, (), build)
+
+
+def q_ratings_from_csv(spark, sf_dir):
+    return _ratings_file(spark, sf_dir).where("reason is null").select("user_id", "item_id", "rating")
+
+
+def q_ratings_csv_rejects(spark, sf_dir):
+    return _ratings_file(spark, sf_dir).where("reason is not null").groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_lines"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from likeness.operators import als, popularity, ranking, split
+from likeness.operators import als, personal, popularity, ranking, split
 from likeness.plans import common
-from likeness.session import written
-from likeness.sources import tables
+from likeness.session import scratch_path, written
+from likeness.sources import files, tables
 
 # The betas shown by the top-k query and the list of the
 # per-user metric queries.
@@ -194,28 +196,87 @@ def q_als_implicit(spark, sf_dir):
     return _als_recs(spark, sf_dir, als.AlsConfig("implicit"))[1]
 
 
+def _personal(spark, sf_dir):
+    s = _split(spark, sf_dir)
+    groups = tables.part_brands(spark, sf_dir).withColumnRenamed("brand", "grp")
+    return s, written(spark, "personal_lists", _paths(sf_dir, "lineitem", "orders", "part"),
+                      (personal.TOP_K, personal.BETA, personal.MIN_RATINGS),
+                      lambda: personal.personal_lists(s.where(F.col("split") == "train"), groups))
+
+
+def q_personal_lists(spark, sf_dir):
+    lists = ranking.as_lists(_personal(spark, sf_dir)[1])
+    return lists.select("user_id", F.array_join(
+        F.transform("recommendations", lambda x: x.cast("bigint").cast("string")), ",").alias("items"))
+
+
+def q_personal_ndcg(spark, sf_dir):
+    s, lists = _personal(spark, sf_dir)
+    # truth that a first order line of a kind brings: some listed users have none
+    truth = _truth(s.where(F.col("rating") >= 4.0), ["val", "test"])
+    out = ranking.inner_personal(lists, truth, personal.TOP_K, tkeys=["split"])
+    return out.select("split", "n_users", "n_truth_only", "n_lists_only",
+                      F.round("ndcg_hits", 6).alias("ndcg_hits"), F.round("ndcg_truth", 6).alias("ndcg_truth"))
+
+
+def q_split_roundtrip(spark, sf_dir):
+    """The split written by ``split``, its validation part replaced by the rows of
+    one star or more, and each part read back from its own folder."""
+    s = _split(spark, sf_dir)
+    path = scratch_path(spark, "split")
+    files.write_split(s.select("user_id", "item_id", "rating", "split"), path)
+    better = s.where((F.col("split") == "val") & (F.col("rating") >= 1.0))
+    files.replace_split(better.select("user_id", "item_id", "rating", "split"), path)
+    val, test = (files.read_split(spark, path, which) for which in ("val", "test"))
+    return val.unionByName(test).select("user_id", "item_id", "rating", "split")
+
+
+def q_metric_results(spark, sf_dir):
+    """The results table of a few betas, one of them saved twice: a run again of a
+    configuration replaces its row."""
+    _, _, sw = _sweep(spark, sf_dir)
+    path = scratch_path(spark, "metric_results")
+    for beta in (*SHOWN_BETAS, SHOWN_BETAS[0]):
+        row = sw.where(F.col("beta") == beta).select(F.round("ndcg", 6).alias("val_ndcg"))
+        files.save_result(row, path, {"beta": beta, "k": popularity.TOP_K})
+    return files.read_results(spark, path).select(
+        F.col("beta").cast("bigint").alias("beta"), F.col("k").cast("bigint").alias("k"), "val_ndcg")
+
+
 DEFAULT_GRID = (als.AlsConfig("explicit"), als.AlsConfig("implicit"))
 
 
-def als_grid(spark, sf_dir, configs=DEFAULT_GRID):
-    """One result row per configuration; one fit per configuration is
-    inherent, the metric work for each fit is distributed."""
+FITS_AT_ONCE = 4
+
+
+def als_grid(spark, sf_dir, configs=DEFAULT_GRID, path=None, at_once: int = FITS_AT_ONCE):
+    """One row per configuration in the results table at ``path``.  Fits run
+    ``at_once`` side by side, each in a scheduler pool of its own: an iteration of
+    one fills the cores that the last tasks of another leave idle.  Each saves its
+    own row, so a run that is broken off and started again adds nothing twice."""
     t, train = als_train(spark, sf_dir)
     truth = (t.where(F.col("split") != "train")
              .select("split", "user_id", F.col("item_id").alias("item")))
     users = truth.select(F.col("user_id").cast("int").alias("user")).distinct()
-    rows = []
-    for cfg in configs:
-        model = als.fit(train, cfg)
-        recs = als.recommend(model, users, als.TOP_K)
-        m = {r["split"]: r["ndcg_truth"] for r in als.evaluate(recs, truth, als.TOP_K).collect()}
-        rows.append((cfg.mode, cfg.rank, cfg.reg_param, cfg.max_iter,
-                     cfg.alpha if cfg.implicit else None,
-                     cfg.tag_bonus if cfg.implicit else None,
-                     m.get("val"), m.get("test")))
-    schema = ("mode string, rank int, reg_param double, max_iter int, alpha double, "
-              "tag_bonus double, val_ndcg double, test_ndcg double")
-    return spark.createDataFrame(rows, schema)
+    path = path or scratch_path(spark, "als_results")
+
+    def one(cfg):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"als-{cfg.mode}-{cfg.rank}-{cfg.reg_param}")
+        recs = als.recommend(als.fit(train, cfg), users, als.TOP_K)
+        found = als.evaluate(recs, truth, als.TOP_K)
+        ndcg = lambda which: F.max(F.when(F.col("split") == which, F.col("ndcg_truth")))
+        files.save_result(found.agg(ndcg("val").alias("val_ndcg"), ndcg("test").alias("test_ndcg")), path, {
+            "mode": cfg.mode, "rank": cfg.rank, "reg_param": cfg.reg_param, "max_iter": cfg.max_iter,
+            "alpha": cfg.alpha if cfg.implicit else None, "tag_bonus": cfg.tag_bonus if cfg.implicit else None})
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        # a thread that inherits the caller's properties per fit: they do not leak between fits
+        for done in [pool.submit(inheritable_thread_target(spark)(one), cfg) for cfg in configs]:
+            done.result()
+    found = files.read_results(spark, path)
+    held = lambda c: (F.col(c) if c in found.columns else F.lit(None)).cast("double").alias(c)
+    return found.select("mode", "rank", "reg_param", "max_iter", held("alpha"), held("tag_bonus"),
+                        "val_ndcg", "test_ndcg")
 
 
 def q_als_grid(spark, sf_dir):

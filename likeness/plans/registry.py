@@ -19,6 +19,11 @@ QUERIES = {
     "pairs_per_threshold": sim.q_pairs_per_threshold,
     "top_pairs_by_threshold": sim.q_top_pairs_by_threshold,
     "csv_roundtrip": pr.q_csv_roundtrip,
+    "user_signatures": sim.q_user_signatures,
+    "similar_users": sim.q_similar_users,
+    # ratings file
+    "ratings_from_csv": pr.q_ratings_from_csv,
+    "ratings_csv_rejects": pr.q_ratings_csv_rejects,
     # pair checks and the random control group
     "pair_validation": pr.q_pair_validation,
     "pair_common_ratings": pr.q_pair_common_ratings,
@@ -40,6 +45,11 @@ QUERIES = {
     "best_beta_test": rc.q_best_beta_test,
     "ndcg_by_user": rc.q_ndcg_by_user,
     "ndcg_mean": rc.q_ndcg_mean,
+    # personal lists, sinks and results
+    "personal_lists": rc.q_personal_lists,
+    "personal_ndcg": rc.q_personal_ndcg,
+    "split_roundtrip": rc.q_split_roundtrip,
+    "metric_results": rc.q_metric_results,
     # backfill and ALS
     "cold_items": rc.q_cold_items,
     "backfill_rows": rc.q_backfill_rows,

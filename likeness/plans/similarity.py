@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.operators import buckets, minhash, toppairs
-from likeness.session import input_fingerprint, materialize
+from likeness.session import input_fingerprint, materialize, written
 from likeness.sources import tables
 
 
@@ -115,3 +115,26 @@ def top_pairs_docs(spark, sf_dir, thresholds=toppairs.THRESHOLDS, k=toppairs.TOP
 def q_top_pairs_by_threshold(spark, sf_dir):
     return top_pairs_docs(spark, sf_dir).withColumn(
         "estimated_jaccard", F.round("estimated_jaccard", 7))
+
+
+def _user_index(spark, sf_dir):
+    """(sig, members, reps) of customers x part sizes, from a long-form ratings
+    table, written once."""
+    def build():
+        return minhash.wide_signatures(tables.part_sizes(spark, sf_dir), "user_id", "item")
+
+    paths = [os.path.join(sf_dir, f"{n}.parquet") for n in ("lineitem", "orders", "part")]
+    sig = written(spark, "user_signatures", paths, (minhash.NUM_PERM, minhash.SEED), build)
+    groups = written(spark, "user_reps", paths, (minhash.NUM_PERM, minhash.SEED), lambda: minhash.group_reps(sig))
+    members = written(spark, "user_members", paths, (minhash.NUM_PERM, minhash.SEED),
+                      lambda: minhash.group_members(sig, groups))
+    return sig, members, groups.select("group_id", "sig")
+
+
+def q_user_signatures(spark, sf_dir):
+    return minhash.signatures_long(_user_index(spark, sf_dir)[0])
+
+
+def q_similar_users(spark, sf_dir):
+    _, members, reps = _user_index(spark, sf_dir)
+    return toppairs.top_pairs(members, reps).withColumn("estimated_jaccard", F.round("estimated_jaccard", 7))

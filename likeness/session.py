@@ -3,6 +3,7 @@ folder derived from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -35,14 +36,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (local
-    tests) a fresh temporary folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset on a local
+    master (tests) a fresh temporary folder is created and registered.  On a
+    cluster such a folder would be another one on every machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="likeness-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -80,18 +84,21 @@ def input_parallelism(df):
 
 
 def input_fingerprint(spark: SparkSession, path: str) -> tuple:
-    """(path, [(file, length, modification time)...]) through the Hadoop
-    FileSystem API, so it works for local and cluster file systems alike."""
+    """(path, files, digest of every file's name, length and modification time)
+    through the Hadoop FileSystem API, so it works for local and cluster file
+    systems alike.  The digest does not depend on the order of the listing, and
+    no list of files is kept."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
-    files = []
+    n = total = 0
     found = fs.listFiles(p, True)      # descends into partition folders
     while found.hasNext():
         st = found.next()
-        files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    return (path, tuple(sorted(files)))
+        text = f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}"
+        n, total = n + 1, (total + int.from_bytes(hashlib.sha256(text.encode()).digest()[:16])) % 2**128
+    return (path, n, total)
 
 
 _WRITTEN: dict = {}

@@ -58,6 +58,39 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(_half_stars(F.avg("l_quantity")).alias("rating")))
 
 
+def part_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item): the size of every part a customer ordered, one row per
+    order line; customers with like tastes share most sizes."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size").where("p_size is not null")
+    lines = _order_lines(spark, sf_dir)
+    return lines.join(part, lines.l_partkey == part.p_partkey).select(
+        F.col("o_custkey").cast("bigint").alias("user_id"), F.col("p_size").cast("bigint").alias("item"))
+
+
+def part_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, brand) of every part."""
+    return read_table(spark, sf_dir, "part").where("p_partkey is not null and p_brand is not null").select(
+        F.col("p_partkey").cast("bigint").alias("item_id"), F.col("p_brand").alias("brand"))
+
+
+def ratings_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value STRING): the order lines as the lines of a ratings file, ids of some
+    as floats, and some lines with a fault of each kind."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rows = li.join(od, li.l_orderkey == od.o_orderkey)
+    user, item = F.col("o_custkey").cast("string"), F.col("l_partkey").cast("string")
+    rating = _half_stars(F.col("l_quantity")).cast("string")
+    kind = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    fault = kind % 41
+    return rows.where("o_custkey is not null and l_partkey is not null").select(F.concat_ws(
+        ",",
+        F.when(fault == 1, F.concat(user, F.lit(".5"))).when(kind % 3 == 0, F.concat(user, F.lit(".0"))).otherwise(user),
+        F.when(fault == 2, F.lit("")).otherwise(item),
+        F.when(fault == 3, F.lit("n/a")).when(fault == 4, F.lit("NaN")).otherwise(rating),
+        F.when(fault == 5, F.lit("0,extra")).otherwise(F.lit("0"))).alias("value"))
+
+
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user, item) pairs the user 'tagged': a returned order line."""
     return (_order_lines(spark, sf_dir)

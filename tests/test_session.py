@@ -59,3 +59,16 @@ def test_a_file_replaced_in_a_partition_folder_is_seen(spark, tmp_path):
     before = input_fingerprint(spark, str(tmp_path / "t.parquet"))
     pd.DataFrame({"x": [1, 2, 3]}).to_parquet(folder / "a.parquet")
     assert input_fingerprint(spark, str(tmp_path / "t.parquet")) != before
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from likeness.session import ensure_checkpoint_dir
+
+    bare = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+                           conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(bare)

@@ -70,3 +70,55 @@ def test_top_pairs_sink_one_folder_per_threshold(spark, tmp_path):
     back = files.read_pairs_csv(spark, os.path.join(path, "min_ratings=5"))
     assert sorted((r["id1"], r["id2"]) for r in back.collect()) == [(10, 11), (10, 12)]
     assert files.result_path("/x", "als_result", rank=10, reg=0.1) == "/x/als_result_rank10_reg0.1"
+
+
+def test_ratings_file_with_faults(spark, tmp_path):
+    good = ["1,10,3.5,99", "2.0,11.00,4,", " 3 , 12 ,0.5,5", f"{2**62},7,1e0,1"]
+    bad = {"fields": ["1,2,3,4,5", "1,2"], "userId": ["x,1,1,1", "1.5,1,1,1", ",1,1,1", "99999999999999999999,1,1,1"],
+           "movieId": ["1,,1,1", "1,1e3,1,1"], "rating": ["1,1,n/a,1", "1,1,NaN,1", "1,1,,1", "1,1,Infinity,1"]}
+    path = tmp_path / "ratings.csv"
+    path.write_text("\n".join(["userId,movieId,rating,timestamp", *good, *(x for v in bad.values() for x in v)]) + "\n")
+    found = files.read_ratings_csv(spark, str(path))
+    rows = sorted(tuple(r)[:3] for r in found.where("reason is null").collect())
+    assert rows == [(1, 10, 3.5), (2, 11, 4.0), (3, 12, 0.5), (2**62, 7, 1.0)]
+    counts = {r.reason: r["count"] for r in found.groupBy("reason").count().collect() if r.reason}
+    assert counts == {k: len(v) for k, v in bad.items()}
+    # a query that asks for the good lines' ids alone still sees the wrong number of fields
+    assert found.where("reason is null").select("user_id").count() == len(good)
+
+
+def test_header_with_other_names_is_refused(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "r.csv"
+    path.write_text("movieId,userId,rating,timestamp\n1,2,3,4\n")
+    with pytest.raises(Exception):
+        files.read_ratings_csv(spark, str(path)).collect()
+
+
+def test_replacing_one_split_leaves_the_others(spark, tmp_path):
+    df = spark.createDataFrame([(u, i, s) for u in range(9) for i, s in enumerate(("train", "val", "test"))],
+                               "user_id long, item_id long, split string")
+    path = str(tmp_path / "split")
+    files.write_split(df, path)
+    names = lambda s: sorted(os.listdir(os.path.join(path, f"split={s}")))
+    before = {s: names(s) for s in ("train", "val", "test")}
+    files.replace_split(df.where("split = 'val' and user_id < 4"), path)
+    assert names("train") == before["train"] and names("test") == before["test"] and names("val") != before["val"]
+    val = files.read_split(spark, path, "val")
+    assert val.count() == 4 and files.read_split(spark, path, "train").count() == 9
+    scan = val._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in scan
+    scanned = {f.split("split=")[1].split("/")[0] for f in val.inputFiles()}
+    relation = val._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert "val" in scanned and relation.selectedPartitions().partitionCount() == 1
+
+
+def test_saving_a_configuration_again_replaces_its_rows(spark, tmp_path):
+    path = str(tmp_path / "results")
+    row = lambda x: spark.createDataFrame([(x,)], "ndcg double")
+    files.save_result(row(0.1), path, {"rank": 10, "reg": 0.1, "alpha": 40.0})
+    files.save_result(row(0.2), path, {"rank": 20, "reg": 0.1, "alpha": None})
+    files.save_result(row(0.3), path, {"reg": 0.1, "alpha": 40.0, "rank": 10})
+    got = sorted((r["rank"], r.alpha, r.ndcg) for r in files.read_results(spark, path).collect())
+    assert got == [(10, 40.0, 0.3), (20, None, 0.2)]
