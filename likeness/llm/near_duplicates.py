@@ -18,8 +18,9 @@
    are still apart against each other: the exact rest, all but empty for
    groups of near-copies of one document.  The members of such a key come with
    their signatures and a long sketch, and numpy compares them inside the task:
-   only pairs of different components whose sketches allow a link leave it, each
-   at the first key the two share.  Large keys are dealt as a triangle of blocks.
+   only pairs of different components whose sketches allow a link leave it.  Keys
+   that share documents meet as one family, a very large family key by key, each
+   pair at the first key the two share; both are dealt as triangles of blocks.
 
 Signatures and sketches set a pair aside only if they differ in more slots than
 a pair at the threshold does with probability 1e-9 or so (``limit``);
@@ -52,7 +53,8 @@ CHUNKS, SLOTS = 12, 6              # 72 slots of 16 bits
 RADIUS = 2 * CHUNKS - 1
 LONG_SLOTS = 512                   # 8-bit slots of the long sketch
 SIGMAS = 6.4                       # see limit
-BLOCK = 2048                       # members of a block of a large key
+FAMILY = 1 << 14                   # documents up to which a family of keys is one triangle of blocks
+BLOCK = 2048                       # members of a block of a family or key
 SLICE = 1 << 22                    # slot comparisons held in memory at once
 
 _ODD = np.random.default_rng(42).integers(0, 2**63, CHUNKS * SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -242,12 +244,14 @@ def cells(members: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _meet(rows: pa.Table, most: int, most_long: int, similarity: int):
-    """Slices of (id1, id2): the cell's pairs of different components that its key
-    is the first to bring together and whose sketches allow a link."""
+    """Slices of (id1, id2): the cell's pairs of different components that share a
+    key and whose sketches allow a link; in the cell of one key, those that this
+    key is the first to bring together."""
     matrix = lambda c, t: np.frombuffer(b"".join(rows.column(c).to_pylist()), t).reshape(rows.num_rows, -1)
     ids, comp, n = (rows.column(c).to_numpy() for c in ("id", "component", "n"))
     sig, sketch = matrix("sig", "<u2"), matrix("sketch", np.uint8)
-    place = int(np.flatnonzero(_keys_of(sig[:1])[0] == rows.column("key")[0].as_py())[0])
+    place = None if rows.column("whole")[0].as_py() else int(
+        np.flatnonzero(_keys_of(sig[:1])[0] == rows.column("key")[0].as_py())[0])
     if rows.column("low")[0].as_py() == rows.column("high")[0].as_py():
         # pairs inside the largest component are linked already: its members are met, but meet nobody
         names, at, size = np.unique(comp, return_inverse=True, return_counts=True)
@@ -274,15 +278,34 @@ def _meet(rows: pa.Table, most: int, most_long: int, similarity: int):
             differs = sig[x] != sig[y]
             chunk = differs.reshape(len(x), CHUNKS, SLOTS)
             near = chunk.sum(axis=2) <= 1
-            first = near.argmax(axis=1)
-            hit = chunk[np.arange(len(x)), first]
-            own = near.any(axis=1) & (first * SLOTS + np.where(hit.any(axis=1), hit.argmax(axis=1), 0) == place)
-            own &= differs.sum(axis=1) <= most
+            own = near.any(axis=1) & (differs.sum(axis=1) <= most)
+            if place is not None:
+                first = near.argmax(axis=1)
+                hit = chunk[np.arange(len(x)), first]
+                own &= first * SLOTS + np.where(hit.any(axis=1), hit.argmax(axis=1), 0) == place
             x, y = x[own], y[own]
             close = (sketch[x] != sketch[y]).sum(axis=1) <= most_long
             yield np.minimum(ids[x[close]], ids[y[close]]), np.maximum(ids[x[close]], ids[y[close]])
 
 
+def families(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` (key, id, component) as rows for ``cells``.  Keys that share
+    documents form a family: first those of families up to ``FAMILY`` documents,
+    every document once under its family's least id, then those of larger ones,
+    under each of their keys.  Near copies of one text share dozens of keys, so
+    the first form carries a document once instead of dozens of times."""
+    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
+    family = materialize(components(members.join(hubs, "key").select("hub", "id"), "hub", "id")
+                         .toDF("id", "family"), "families")
+    large = (family.groupBy("family").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > FAMILY)
+             .select("family"))
+    small = family.join(bounded_broadcast(materialize(large, "large-families")), "family", "left_anti")
+    whole = members.select("id", "component").distinct().join(small, "id").select(
+        F.col("family").alias("key"), "id", "component", F.lit(True).alias("whole"))
+    return whole, members.join(small.select("id"), "id", "left_anti").select(
+        "key", "id", "component", F.lit(False).alias("whole"))
+
+
 def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, similarity: int,
             sketches: bool = True) -> DataFrame:
     """(id1, id2): pairs of members (key, id, component) of one key in different
@@ -298,8 +321,13 @@ def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, si
             for a, b in _meet(rows, most, most_long, similarity):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id1", "id2"])
 
-    return (cells(members).join(known, "id").repartition(*order).sortWithinPartitions(*order)
-            .select(*order, "side", "id", "component", "n", "sig", "sketch").mapInArrow(run, "id1 long, id2 long"))
+    def met(rows):
+        return (cells(rows).join(known, "id").repartition(*order).sortWithinPartitions(*order)
+                .select(*order, "side", "id", "component", "whole", "n", "sig", "sketch")
+                .mapInArrow(run, "id1 long, id2 long"))
+
+    whole, single = families(members)
+    return met(whole).unionByName(met(single))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,

@@ -77,9 +77,10 @@ def family(n=260, words=120, seed=3):
     return out
 
 
-@pytest.mark.parametrize("block", [nd.BLOCK, 16])
-def test_a_family_of_far_and_near_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,size", [(nd.BLOCK, nd.FAMILY), (16, nd.FAMILY), (16, 10)])
+def test_a_family_of_far_and_near_copies(spark, monkeypatch, block, size):
     monkeypatch.setattr(nd, "cells", partial(nd.cells, block=block))
+    monkeypatch.setattr(nd, "FAMILY", size)            # 10: the family is met key by key
     texts = family() + ["one two three four five " * 3] * 3
     want = brute(dict(enumerate(texts)))
     assert 20 < len({c for _, c in want.values()}) < 250
@@ -97,7 +98,8 @@ def test_a_pair_leaves_at_one_key_alone(spark, monkeypatch):
     keys = {i: set(nd._keys_of(s[None, :])[0].tolist()) for i, s in sig.items()}
     want = {(a, b) for a in sig for b in sig if a < b and a % 7 != b % 7 and keys[a] & keys[b]}
     members = nd.chunk_keys(found).selectExpr("key", "id", "id % 7 component")
-    for block in (nd.BLOCK, 5):
+    for block, size in ((nd.BLOCK, nd.FAMILY), (5, nd.FAMILY), (nd.BLOCK, 1), (5, 1)):
+        monkeypatch.setattr(nd, "FAMILY", size)
         monkeypatch.setattr(nd, "cells", partial(nd.cells.func if isinstance(nd.cells, partial) else nd.cells, block=block))
         got = [(r.id1, r.id2) for r in nd._across(members, found, d, 4, 0, sketches=False).collect()]
         assert len(got) == len(set(got)) and set(got) == want
