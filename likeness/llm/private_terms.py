@@ -40,6 +40,7 @@ from likeness.llm.common import materialize
 from likeness.session import bounded_broadcast
 
 DISCLOSURE, REMOVAL = 0.8, 0.98
+RUN, BUCKETS = 256, 256         # see _placed, _occurrences
 LISTED = 100_000               # terms, and entities, whose counts are broadcast
 KINDS = ("email", "ip", "card", "phone")
 
@@ -84,19 +85,47 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _placed(pieces: Column) -> Column:
+    """``pieces`` (gap, hit), in order, with the place ``start`` of each hit in code
+    points.  A running sum that appends to an array copies it at every step; here
+    pieces are summed in runs of ``RUN`` and the runs' totals once more, so the cost
+    stays near the number of pieces."""
+    size = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0))
+    zero = F.lit(0)
+
+    def sums(values):                    # what lies before each of ``values``, and the whole
+        return F.aggregate(values, F.array(zero), lambda done, v: F.concat(done, F.array(F.element_at(done, -1) + v)))
+
+    def cut(whole):
+        last = F.greatest(zero, F.floor((F.size(whole) - 1) / RUN).cast("int"))
+        return F.transform(F.sequence(zero, last), lambda r: F.slice(whole, r * RUN + 1, RUN))
+
+    def place(run, offset):
+        return _bound(sums(F.transform(run, size)), lambda inner: F.transform(run, lambda p, i: F.struct(
+            (offset + F.element_at(inner, i + 1) + F.length(p["gap"])).alias("start"), p["hit"].alias("hit"))))
+
+    found = _bound(pieces, lambda whole: _bound(cut(whole), lambda runs: _bound(
+        sums(F.transform(runs, lambda run: F.aggregate(run, zero, lambda n, p: n + size(p)))),
+        lambda before: F.flatten(F.transform(runs, lambda run, r: place(run, F.element_at(before, r + 1)))))))
+    return F.filter(found, lambda p: p["hit"].isNotNull())
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: inside a lambda an expression
+    is computed at every use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    return F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
+                        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
+
+
 def located(text: Column, pattern: str, valid=lambda v: F.lit(True)) -> Column:
     """(start, end, value) of all valid matches, in order; code points."""
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
-                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
-
-    def step(state, piece):
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.coalesce(F.length(piece["hit"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), piece["hit"].alias("value")))
-        return F.struct(end.alias("at"), F.when(piece["hit"].isNotNull() & valid(piece["hit"]),
-                                                F.concat(state["found"], one)).otherwise(state["found"]).alias("found"))
-    return F.aggregate(pieces, nothing, step, lambda s: s["found"])
+    hits = F.filter(_placed(_pieces(text, pattern)), lambda p: valid(p["hit"]))
+    return F.transform(hits, lambda p: F.struct(
+        p["start"].alias("start"), (p["start"] + F.length(p["hit"])).alias("end"), p["hit"].alias("value"))).cast(SPANS)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -128,21 +157,18 @@ def _terms(text: Column) -> Column:
 
 
 def _occurrences(text: Column, rated: Column) -> Column:
-    """(start, end, disclosure) of every occurrence of the terms in the map
-    ``rated``, in order; code points."""
-    pieces = F.arrays_zip(F.split(text, _WORD, -1).alias("gap"),
-                          F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("hit"))
-    places = "array<struct<start:int,end:int,disclosure:double>>"
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(places).alias("found"))
-
-    def step(state, piece):
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.coalesce(F.length(piece["hit"]), F.lit(0))
-        share = F.try_element_at(rated, F.lower(piece["hit"]))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), share.alias("disclosure")))
-        return F.struct(end.alias("at"), F.when(share.isNotNull(), F.concat(state["found"], one))
-                        .otherwise(state["found"]).alias("found"))
-    return F.aggregate(pieces, nothing, step, lambda s: s["found"])
+    """(start, end, disclosure) of every occurrence of the terms in ``rated``, in
+    order; code points.  ``rated`` maps a term's bucket to a map of its terms: a map
+    is searched from end to end, so one of all terms would make a document of
+    many terms quadratic."""
+    share = lambda hit: F.try_element_at(F.try_element_at(rated, _bucket(F.lower(hit))), F.lower(hit))
+    hits = F.transform(_placed(_pieces(text, _WORD)), lambda p: F.struct(
+        p["start"].alias("start"), (p["start"] + F.length(p["hit"])).alias("end"), share(p["hit"]).alias("disclosure")))
+    return F.filter(hits, lambda p: p["disclosure"].isNotNull())
+
+
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, kept: list[str]) -> DataFrame:
@@ -219,8 +245,9 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     revealing = materialize(disclosing_terms(found, disclosure).groupBy("term")
                             .agg(F.max("disclosure").alias("disclosure")), "disclosing-terms")
     rated = (found.select("__uid", F.explode(_terms(F.col("__plain"))).alias("term"))
-             .join(bounded_broadcast(revealing), "term").groupBy("__uid")
-             .agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("__rated")))  # one document's terms
+             .join(bounded_broadcast(revealing), "term").groupBy("__uid", _bucket(F.col("term")).alias("b"))
+             .agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("m")).groupBy("__uid")
+             .agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("__rated")))  # one document's terms
     span = "array<struct<kind:string,start:int,end:int,disclosure:double>>"
     base = F.transform("__spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit(None).cast("double"))).cast(span)
     places = _occurrences(F.col("__plain"), F.col("__rated"))

@@ -107,3 +107,18 @@ def test_entities_of_one_or_two_documents_disclose(spark):
         at = rows[i].index(name)
         assert [s for s in out[i] if s.startswith("term")] == [f"term:{at}:{at + len(name)}"]
     assert all(out[i] == [""] for i in range(6, 46))
+
+
+def test_many_words_in_one_text_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (2000, 32000):
+        text = "zeb@mail.org " + " ".join(f"w{i}" for i in range(n))
+        d = docs(spark, [text] + ["other words for all of them"] * 20)
+        start = time.time()
+        spans = [r.spans for r in pt.q_private(d).where("doc_id = 0").collect()][0].split(",")
+        took.append(time.time() - start)
+        at = 13
+        assert len(spans) == n + 1 and spans[1] == f"term:{at}:{at + 2}" and spans[-1].endswith(f":{len(text)}")
+    assert took[1] < took[0] + 60
