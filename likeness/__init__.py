@@ -8,7 +8,6 @@ functions/  column expressions (element hash, MinHash parameters, NDCG terms)
 operators/  DataFrame operators (signatures, LSH, pair statistics, sampling,
             splits, popularity, ranking metrics, ALS)
 plans/      the registered queries and their DuckDB oracle text
-streaming/  nothing: every job of the source project is batch
 """
 
 __all__ = ["session"]
