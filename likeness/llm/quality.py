@@ -88,7 +88,7 @@ class Network:
         half, n = SEGMENT // 2, len(rows)
         ends = np.zeros(n, bool)
         ends[np.append(first[1:], n) - 1] = True
-        best = np.empty((n, FILTERS), np.float32)
+        best = np.empty((n, FILTERS), self.p["E"].dtype)
         at = np.empty((n, FILTERS), np.int64) if places else None
         flat = _windows(rows)
         table = self.tables() if pairs is None else None
@@ -131,12 +131,12 @@ class Network:
         take_next = relu[nxt] > relu
         chunk = np.where(take_next, relu[nxt], relu)
         # a text of one segment is one chunk; else its last segment starts none
-        weight = np.where(last & (np.repeat(count, count) > 1), 0, 1).astype(np.float32)
+        weight = np.where(last & (np.repeat(count, count) > 1), 0, 1).astype(best.dtype)
         chunks = np.add.reduceat(weight, first)
         mean_chunk = np.add.reduceat(chunk * weight[:, None], first) / chunks[:, None]
         top = np.maximum.reduceat(relu, first)
         mean_seg = np.add.reduceat(relu, first) / count[:, None]
-        x = np.hstack([mean_chunk, top, mean_seg, np.log1p(size)[:, None] / 10]).astype(np.float32)
+        x = np.hstack([mean_chunk, top, mean_seg, np.log1p(size)[:, None] / 10]).astype(best.dtype)
         return x, (relu, nxt, take_next, weight, chunks, count, top)
 
     def head(self, x: np.ndarray):
@@ -155,8 +155,8 @@ class Network:
         best, at, flat = self.pooled(rows, first, places=True)
         x, (relu, nxt, take_next, weight, chunks, count, top) = self.features(best, first, size)
         prob, hid = self.head(x)
-        g = ((prob - y) / len(y)).astype(np.float32)
-        grad = {"o": hid.T @ g, "c": np.array([g.sum()], np.float32)}
+        g = ((prob - y) / len(y)).astype(x.dtype)
+        grad = {"o": hid.T @ g, "c": np.array([g.sum()], x.dtype)}
         gh = np.outer(g, self.p["o"]) * (hid > 0)
         grad |= {"H": x.T @ gh, "h": gh.sum(0)}
         gx = gh @ self.p["H"].T
@@ -167,7 +167,7 @@ class Network:
         grelu += np.where(relu == top[doc], gx[:, FILTERS:2 * FILTERS][doc], 0)
         grelu *= relu > 0
         grad["b"] = grelu.sum(0)
-        table = np.zeros((WIDTH, 256 * FILTERS), np.float32)
+        table = np.zeros((WIDTH, 256 * FILTERS), x.dtype)
         column = np.arange(FILTERS)[None, :]
         for k in range(WIDTH):
             cell = (flat[at + k].astype(np.int64) * FILTERS + column).ravel()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from likeness.llm import near_duplicates as nd
-from likeness.llm.common import table
+from likeness.llm.common import materialize, table
 from likeness.llm.graph import components
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import DOCS, docs
@@ -123,5 +123,17 @@ def test_components(spark, edges, want):
     assert {r.id: r.component for r in got} == want and len(got) == len(want)
 
 
+def test_rounds_grow_with_the_logarithm_of_the_chain(spark, monkeypatch):
+    from likeness.llm import graph
+
+    rounds = []
+    monkeypatch.setattr(graph, "materialize", lambda df, name: rounds.append(name) or materialize(df, name))
+    for n in (16, 256):
+        rounds.clear()
+        edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "u long, v long")
+        assert {r.component for r in graph.components(edges).collect()} == {0}
+        assert len(rounds) <= 2 + n.bit_length()
+
+
 def test_empty_table(spark):
     assert nd.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0

@@ -63,6 +63,27 @@ def test_nearest_recall_over_the_table(spark, monkeypatch):
     assert len(got) == 10 * len(want) and hits >= 0.9 * len(got)
 
 
+def test_nearest_recall_at_the_querys_settings(spark):
+    """Above LEAST rows, with the share the query reranks."""
+    rows = clustered(4000)
+    want = near_brute(rows)
+    got = permutation_index.q_nearest(frame(spark, rows)).collect()
+    hits = sum(r.vec_id in {v for v, _ in want[r.query_id]} for r in got)
+    assert len(got) == 10 * len(want) and hits >= 0.9 * len(got)
+
+
+@pytest.mark.parametrize("cosine,least", [(0.90, 0.9), (0.92, 0.95), (0.95, 0.99)])
+def test_pairs_near_the_threshold_share_a_probed_cell(cosine, least):
+    rng = np.random.default_rng(0)
+    a, r = (rng.normal(size=(2000, 64)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    r -= (r * a).sum(axis=1)[:, None] * a
+    b = cosine * a + np.sqrt(1 - cosine ** 2) * r / np.linalg.norm(r, axis=1)[:, None]
+    (own_a, ask_a), (own_b, ask_b) = lattice.cells(a), lattice.cells(b)
+    met = (ask_a == own_b[:, :, None]).any(axis=(1, 2)) | (ask_b == own_a[:, :, None]).any(axis=(1, 2))
+    assert met.mean() >= least
+
+
 def test_links_equal_all_pairs(spark):
     rows = clustered(600)
     out = {r.vec_id: r for r in lattice.near_vectors(frame(spark, rows + unusable() + rows[:5])).collect()}
