@@ -72,19 +72,33 @@ def test_nearest_recall_at_the_querys_settings(spark):
     assert len(got) == 10 * len(want) and hits >= 0.9 * len(got)
 
 
+@pytest.mark.parametrize("n", [most or 10 ** 9 for most, _, _ in lattice.RUNGS])
 @pytest.mark.parametrize("cosine,least", [(0.90, 0.9), (0.92, 0.95), (0.95, 0.99)])
-def test_pairs_near_the_threshold_share_a_probed_cell(cosine, least):
+def test_pairs_near_the_threshold_share_a_probed_cell(cosine, least, n):
     rng = np.random.default_rng(0)
     a, r = (rng.normal(size=(2000, 64)) for _ in range(2))
     a /= np.linalg.norm(a, axis=1)[:, None]
     r -= (r * a).sum(axis=1)[:, None] * a
     b = cosine * a + np.sqrt(1 - cosine ** 2) * r / np.linalg.norm(r, axis=1)[:, None]
-    (own_a, ask_a), (own_b, ask_b) = lattice.cells(a), lattice.cells(b)
+    (own_a, ask_a), (own_b, ask_b) = (lattice.cells(x, *lattice.rung(n)) for x in (a, b))
     met = (ask_a == own_b[:, :, None]).any(axis=(1, 2)) | (ask_b == own_a[:, :, None]).any(axis=(1, 2))
     assert met.mean() >= least
 
 
-def test_links_equal_all_pairs(spark):
+def test_random_vectors_meet_rarely_at_every_rung():
+    """Own cells that two random vectors share, in all tables: a vector of a table
+    at a rung's upper end meets a few others, not a share of them."""
+    x = np.random.default_rng(1).normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for most, scale, tables in lattice.RUNGS[:4]:
+        own, _ = lattice.cells(x, scale, tables)
+        met = sum((c * (c - 1) // 2).sum() for c in (np.unique(own[:, t], return_counts=True)[1] for t in range(tables)))
+        assert 2 * met / 6000 * most / 6000 < 12
+
+
+@pytest.mark.parametrize("rungs", [lattice.RUNGS, ((None, 0.6, 23),)])
+def test_links_equal_all_pairs(spark, rungs, monkeypatch):
+    monkeypatch.setattr(lattice, "RUNGS", rungs)
     rows = clustered(600)
     out = {r.vec_id: r for r in lattice.near_vectors(frame(spark, rows + unusable() + rows[:5])).collect()}
     x = np.array([v for _, v in rows])
