@@ -52,6 +52,7 @@ WORDS, SIMILARITY = 4, 80          # shingle length and per cent of the query
 CHUNKS, SLOTS = 12, 6              # 72 slots of 16 bits
 RADIUS = 2 * CHUNKS - 1
 LONG_SLOTS = 512                   # 8-bit slots of the long sketch
+WHOLE_SET = 1024                   # shingles up to which a set travels with its sketch
 SIGMAS = 6.4                       # see limit
 FAMILY = 1 << 14                   # documents up to which a family of keys is one triangle of blocks
 BLOCK = 2048                       # members of a block of a family or key
@@ -222,13 +223,31 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _sketched(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(id, sketch) of the given documents."""
+    """(id, sketch, whole_set) of the given documents; a long set is null."""
     def run(batch):
-        made = [long_sketch(shingles(t, words)).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], ["id", "sketch"])
+        sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([long_sketch(x).tobytes() for x in sets], pa.binary()),
+             pa.array([x.tobytes() if len(x) <= WHOLE_SET else None for x in sets], pa.binary())],
+            ["id", "sketch", "whole_set"])
 
     return arrow_map(docs.join(bounded_broadcast(ids), "id", "left_semi").select("id", "text"), run,
-                     "id long, sketch binary")
+                     "id long, sketch binary, whole_set binary")
+
+
+def _linked(sets: list, x: np.ndarray, y: np.ndarray, similarity: int) -> np.ndarray:
+    """Whether the sets (sorted) of rows ``x`` and ``y`` are similar enough; ``x``
+    ascends, and all partners of one row are compared with it at once."""
+    out = np.zeros(len(x), bool)
+    cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own, others = sets[x[a]], [sets[k] for k in y[a:b]]
+        size = np.fromiter(map(len, others), np.int64, b - a)
+        flat = np.concatenate(others)
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(size) - size)
+        out[a:b] = 100 * both >= similarity * (len(own) + size - both)
+    return out
 
 
 def cells(members: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -244,12 +263,15 @@ def cells(members: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _meet(rows: pa.Table, most: int, most_long: int, similarity: int):
-    """Slices of (id1, id2): the cell's pairs of different components that share a
-    key and whose sketches allow a link; in the cell of one key, those that this
-    key is the first to bring together."""
+    """Slices of (id1, id2, sure): the cell's pairs of different components that
+    share a key and whose sketches allow a link; in the cell of one key, those that
+    this key is the first to bring together.  Pairs of whole sets are links
+    (``sure``), the others are to be confirmed."""
     matrix = lambda c, t: np.frombuffer(b"".join(rows.column(c).to_pylist()), t).reshape(rows.num_rows, -1)
     ids, comp, n = (rows.column(c).to_numpy() for c in ("id", "component", "n"))
     sig, sketch = matrix("sig", "<u2"), matrix("sketch", np.uint8)
+    sets = [None if x is None else np.frombuffer(x, np.uint64) for x in rows.column("whole_set").to_pylist()]
+    short = np.array([x is not None for x in sets])
     place = None if rows.column("whole")[0].as_py() else int(
         np.flatnonzero(_keys_of(sig[:1])[0] == rows.column("key")[0].as_py())[0])
     if rows.column("low")[0].as_py() == rows.column("high")[0].as_py():
@@ -285,7 +307,12 @@ def _meet(rows: pa.Table, most: int, most_long: int, similarity: int):
                 own &= first * SLOTS + np.where(hit.any(axis=1), hit.argmax(axis=1), 0) == place
             x, y = x[own], y[own]
             close = (sketch[x] != sketch[y]).sum(axis=1) <= most_long
-            yield np.minimum(ids[x[close]], ids[y[close]]), np.maximum(ids[x[close]], ids[y[close]])
+            x, y = x[close], y[close]
+            sure = short[x] & short[y]
+            keep = ~sure
+            keep[sure] = _linked(sets, x[sure], y[sure], similarity)
+            x, y = x[keep], y[keep]
+            yield np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), sure[keep]
 
 
 def families(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -308,8 +335,8 @@ def families(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, similarity: int,
             sketches: bool = True) -> DataFrame:
-    """(id1, id2): pairs of members (key, id, component) of one key in different
-    components that may be linked, each once."""
+    """(id1, id2, sure): pairs of members (key, id, component) of one key in
+    different components that are (``sure``) or may be linked, each once."""
     ids = materialize(members.select("id").distinct(), "mixed-ids")
     known = materialize(reps.select("id", "n", "sig").join(_sketched(ids, docs, words), "id"), "mixed-sketches")
     most, most_long = ((limit(CHUNKS * SLOTS, similarity), limit(LONG_SLOTS, similarity)) if sketches
@@ -318,13 +345,13 @@ def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, si
 
     def run(batches):
         for rows in by_cell(batches, order):
-            for a, b in _meet(rows, most, most_long, similarity):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id1", "id2"])
+            for a, b, sure in _meet(rows, most, most_long, similarity):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], ["id1", "id2", "sure"])
 
     def met(rows):
         return (cells(rows).join(known, "id").repartition(*order).sortWithinPartitions(*order)
-                .select(*order, "side", "id", "component", "whole", "n", "sig", "sketch")
-                .mapInArrow(run, "id1 long, id2 long"))
+                .select(*order, "side", "id", "component", "whole", "n", "sig", "sketch", "whole_set")
+                .mapInArrow(run, "id1 long, id2 long, sure boolean"))
 
     whole, single = families(members)
     return met(whole).unionByName(met(single))
@@ -365,8 +392,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("key"))
     apart = materialize(placed.join(mixed, "key", "left_semi").select("key", "id", "component"), "mixed-keys")
-    third = _across(apart, reps, source, words, similarity, sketches)
-    links = materialize(links.union(_links(third, source, words, similarity)), "links-3")
+    third = materialize(_across(apart, reps, source, words, similarity, sketches), "across")
+    open_ = _links(third.where("not sure").select("id1", "id2"), source, words, similarity)
+    links = materialize(links.union(third.where("sure").select("id1", "id2")).union(open_), "links-3")
     whole = materialize(components(links, "id1", "id2"), "labels-3")
 
     vertices = found.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("digest").alias("digest"))

@@ -70,16 +70,17 @@ def family(n=260, words=120, seed=3):
     base = [f"w{i}" for i in range(words)]
     out = []
     for k in range(n):
-        text = list(base)
+        text = list(base) + [f"y{k}"] * (k % 3 == 0)
         for at in rng.choice(words, rng.integers(0, 14), replace=False):
             text[at] = f"x{k}-{at}"
         out.append(" ".join(text))
     return out
 
 
-@pytest.mark.parametrize("block,size", [(nd.BLOCK, nd.FAMILY), (16, nd.FAMILY), (16, 10)])
-def test_a_family_of_far_and_near_copies(spark, monkeypatch, block, size):
+@pytest.mark.parametrize("block,size,carried", [(nd.BLOCK, nd.FAMILY, nd.WHOLE_SET), (16, nd.FAMILY, 116), (16, 10, 0)])
+def test_a_family_of_far_and_near_copies(spark, monkeypatch, block, size, carried):
     monkeypatch.setattr(nd, "cells", partial(nd.cells, block=block))
+    monkeypatch.setattr(nd, "WHOLE_SET", carried)      # all sets, some sets, no sets come along
     monkeypatch.setattr(nd, "FAMILY", size)            # 10: the family is met key by key
     texts = family() + ["one two three four five " * 3] * 3
     want = brute(dict(enumerate(texts)))
