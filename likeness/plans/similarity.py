@@ -87,6 +87,12 @@ def _copy_groups(members):
         F.col("group_size").alias("size2"))
 
 
+def _shown(n):
+    """A count of pairs as the reports show it, a BIGINT; the operators' own counts
+    are DECIMAL, and one beyond 2^63 raises here instead of wrapping."""
+    return n.cast("bigint")
+
+
 def q_similar_pairs(spark, sf_dir):
     _, members, reps = doc_index(spark, sf_dir)
     scored = scored_pairs(members, reps)
@@ -99,12 +105,13 @@ def q_similar_pairs(spark, sf_dir):
         toppairs.product(F.col("size1"), F.col("size2")))
     return across.unionByName(_copy_groups(members)).select(
         "group1", "group2", F.round("estimated_jaccard", 7).alias("estimated_jaccard"),
-        "size1", "size2", implied.cast("decimal(38,0)").alias("n_pairs"))
+        "size1", "size2", _shown(implied).alias("n_pairs"))
 
 
 def q_pairs_per_threshold(spark, sf_dir):
     _, members, reps = doc_index(spark, sf_dir)
-    return toppairs.pairs_per_threshold(toppairs.score_histogram(members, reps))
+    found = toppairs.pairs_per_threshold(toppairs.score_histogram(members, reps))
+    return found.withColumn("n_pairs", _shown(F.col("n_pairs")))
 
 
 def top_pairs_docs(spark, sf_dir, thresholds=toppairs.THRESHOLDS, k=toppairs.TOP_K):
