@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
 import pyarrow as pa
@@ -13,10 +14,15 @@ from likeness.session import ensure_checkpoint_dir, materialize
 
 __all__ = ["add_columns", "arrow_map", "bounded_batches", "fresh", "materialize", "table", "text_id"]
 
+try:
+    _LIBC = ctypes.CDLL(None)
+except OSError:                # a platform without it keeps its memory
+    _LIBC = None
+
 # Rows and bytes of one Arrow batch handed to a Python worker: whole texts are
 # long, so the default of 10,000 rows would not bound a worker's memory.
 BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
@@ -50,9 +56,19 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
+        release_memory()
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give freed memory back at the end of a partition: Python workers live on
+    from stage to stage, beside a heap that grows."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def add_columns(df: DataFrame, fields: list[T.StructField], make, text_col: str = "text") -> DataFrame:
     """Every row of ``df`` with the columns that ``make(texts)`` returns.
 

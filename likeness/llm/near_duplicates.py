@@ -52,6 +52,7 @@ WORDS, SIMILARITY = 4, 80          # shingle length and per cent of the query
 CHUNKS, SLOTS = 12, 6              # 72 slots of 16 bits
 RADIUS = 2 * CHUNKS - 1
 LONG_SLOTS = 512                   # 8-bit slots of the long sketch
+KNOWN_WORDS = 100_000              # words whose hashes one worker remembers
 WHOLE_SET = 1024                   # shingles up to which a set travels with its sketch
 SIGMAS = 6.4                       # see limit
 FAMILY = 1 << 14                   # documents up to which a family of keys is one triangle of blocks
@@ -82,7 +83,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a text; words are
     split at ASCII white space, A-Z lower-cased."""
-    if len(_HASHES) > 400_000:
+    if len(_HASHES) > KNOWN_WORDS:
         _HASHES.clear()
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
