@@ -157,3 +157,24 @@ def test_links_of_every_length(spark):
     alone = [{r.vec_id: tuple(r) for r in lattice.near_vectors(frame(spark, rows)).collect()} for rows in (more, fewer)]
     assert both == {**alone[0], **alone[1]}
     assert any(both[i][1] > 0 for i, _ in fewer)
+
+
+def test_rows_per_vector_do_not_grow_with_the_table():
+    """A vector is posted and asks in a few cells, in a table of 700,000 as in one of 3,000."""
+    assert {lattice.rung(n) for n in (3_000, 120_000, 720_000, 2_000_000)} == {lattice.rung(3_000)}
+    assert lattice.rung(720_000)[1] <= 6
+
+
+def test_blocks_of_a_large_cell_meet(spark, monkeypatch):
+    rows = clustered(300)
+    links = lambda: sorted(tuple(r) for r in lattice.near_vectors(frame(spark, rows)).collect())
+    want = links()
+    monkeypatch.setattr(lattice, "CELL", 2)
+    assert links() == want and any(n for _, n, _, _ in want)
+
+
+def test_an_id_with_several_vectors_has_its_smallest(spark):
+    rows = clustered(200)
+    other = [(i, [a + 5.0 for a in v]) for i, v in rows[:50]]
+    want = sorted(tuple(r) for r in lattice.near_vectors(frame(spark, rows)).collect())
+    assert sorted(tuple(r) for r in lattice.near_vectors(frame(spark, rows + other)).collect()) == want
