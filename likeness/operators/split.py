@@ -37,19 +37,29 @@ def ranked_within(df: DataFrame, entity: str, key: Column, tiebreak: str,
                   heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Adds ``rn`` (1-based rank of the row inside its entity by (key,
     tiebreak)) and ``n`` (rows of the entity).  ``key`` is an md5 text;
-    ``heavy_rows``: rows of one entity that one task sorts."""
-    rows = materialize(df.withColumn("_key", key), "keyed-rows")   # read twice below
+    ``heavy_rows``: rows of one entity that one task sorts.  ``df`` is read more
+    than once: pass it written."""
     heavy = materialize(
-        rows.groupBy(entity).agg(F.count(F.lit(1)).alias("_total")).where(F.col("_total") > heavy_rows)
+        df.groupBy(entity).agg(F.count(F.lit(1)).alias("_total")).where(F.col("_total") > heavy_rows)
         .withColumn("_slices", F.ceil(F.col("_total") / heavy_rows).cast("bigint")), "heavy-entities")
-    lead = F.conv(F.substring("_key", 1, LEADING_HEX_DIGITS), 16, 10).cast("bigint")
-    sliced = rows.join(bounded_broadcast(heavy), entity, "left").withColumn(
-        "_slice", F.coalesce(F.shiftright(lead * F.col("_slices"), 4 * LEADING_HEX_DIGITS), F.lit(0)))
+    # rows are dealt before they get their keys: a key is as long as a row, and its
+    # bytes sort as its text does
+    bytes_ = F.unhex(key)
+    if heavy.isEmpty():
+        inside = Window.partitionBy(entity)
+        return (df.repartition(entity).withColumn("_key", bytes_)
+                .withColumn("rn", F.row_number().over(inside.orderBy("_key", tiebreak)))
+                .drop("_key").withColumn("n", F.count(F.lit(1)).over(inside)))
+    lead = F.conv(F.substring(key, 1, LEADING_HEX_DIGITS), 16, 10).cast("bigint")
+    sliced = df.join(bounded_broadcast(heavy), entity, "left").withColumn(
+        "_slice", F.when(F.col("_slices").isNull(), F.lit(0).cast("bigint"))
+        .otherwise(F.shiftright(lead * F.col("_slices"), 4 * LEADING_HEX_DIGITS)))
     sizes = sliced.where("_slices is not null").groupBy(entity, "_slice").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(entity).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(sizes.select(entity, "_slice", F.sum("_c").over(before).alias("_before")), "slice-offsets")
     inside = Window.partitionBy(entity, "_slice")
-    return (sliced.withColumn("_place", F.row_number().over(inside.orderBy("_key", tiebreak)))
+    return (sliced.repartition(entity, "_slice").withColumn("_key", bytes_)
+            .withColumn("_place", F.row_number().over(inside.orderBy("_key", tiebreak)))
             .withColumn("n", F.coalesce("_total", F.count(F.lit(1)).over(inside)))
             .join(bounded_broadcast(offsets), [entity, "_slice"], "left")
             .withColumn("rn", F.coalesce("_before", F.lit(0)) + F.col("_place"))

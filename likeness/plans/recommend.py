@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from likeness.operators import als, personal, popularity, ranking, split
 from likeness.plans import common
-from likeness.session import scratch_path, written
+from likeness.session import materialize, scratch_path, written
 from likeness.sources import files, tables
 
 # The betas shown by the top-k query and the list of the
@@ -28,7 +28,8 @@ def _split(spark, sf_dir):
     metric and ALS reports all read it."""
     return written(spark, "ratings_split", _paths(sf_dir, "lineitem", "orders"),
                    (split.MIN_ITEMS, split.TRAIN_TENTHS, split.VAL_TENTHS),
-                   lambda: split.assign_split(tables.ratings(spark, sf_dir), "user_id", "item_id"))
+                   lambda: split.assign_split(materialize(tables.ratings(spark, sf_dir), "ratings"),
+                                              "user_id", "item_id"))
 
 
 def _doc_split(spark, sf_dir):
