@@ -14,11 +14,14 @@ them as a group where the original tools drop them.
 from __future__ import annotations
 
 import os
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.session import input_parallelism
+from likeness.session import bounded_broadcast, input_parallelism, materialize
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,14 +117,41 @@ def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as interactions: (doc, word, term count).
 
     Words are the pieces of ``split(text, ' ')`` over the whole text; the empty
-    string is a word and line breaks stay inside words.  The explode runs per
-    row and the count is a partial-then-final aggregate, so one huge document
-    is split across map tasks before the shuffle.
+    string is a word and line breaks stay inside words.  The words of a document
+    that has its id alone are counted where its row lies, and no word moves; those
+    of an id's several rows in a partial-then-final aggregate.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    docs = input_parallelism(docs)
-    words = docs.select(F.col("doc_id").cast("bigint").alias("user_id"),
-                        F.explode(F.split(F.col("text"), " ")).alias("item"))
-    return words.groupBy("user_id", "item").agg(
-        F.count(F.lit(1)).cast("double").alias("rating"))
+    docs = input_parallelism(docs.select(F.col("doc_id").cast("bigint").alias("user_id"), "text"))
+    several = materialize(docs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                          .select("user_id"), "repeated-documents")
+    side = bounded_broadcast(several)
+    words = docs.join(side, "user_id", "left_semi").select("user_id", F.explode(F.split(F.col("text"), " ")).alias("item"))
+    counted = words.groupBy("user_id", "item").agg(F.count(F.lit(1)).cast("double").alias("rating"))
+    return docs.join(side, "user_id", "left_anti").select("user_id", "text").mapInArrow(
+        _counted_words, "user_id long, item string, rating double").unionByName(counted)
+
+
+WORDS_AT_ONCE = 1 << 17        # words of one Arrow batch, but for a longer text
+
+
+def _counted_words(batches):
+    def rows():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(words, pa.string()),
+             pa.array(counts, pa.float64())], ["user_id", "item", "rating"])
+
+    ids, sizes, words, counts = [], [], [], []
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = Counter(text.as_py().split(" "))
+            ids.append(doc)
+            sizes.append(len(found))
+            words.extend(found)
+            counts.extend(found.values())
+            if len(words) >= WORDS_AT_ONCE:
+                yield rows()
+                ids, sizes, words, counts = [], [], [], []
+    if ids:
+        yield rows()
