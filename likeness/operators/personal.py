@@ -18,13 +18,14 @@ from likeness.session import bounded_broadcast, materialize
 TOP_K = 20
 BETA = 250
 MIN_RATINGS = 30
+GROUP_ROWS = 100_000            # items whose groups are broadcast; more meet in a shuffle join
 
 
 def favourites(train: DataFrame, groups: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
     """(user_id, grp): the group with the largest sum of a user's ratings, ties to
     the smaller name, of users with at least ``min_ratings`` of them.  ``groups``:
     (item_id, grp)."""
-    sums = (train.join(groups, "item_id").groupBy("user_id", "grp")
+    sums = (train.join(bounded_broadcast(groups, GROUP_ROWS), "item_id").groupBy("user_id", "grp")
             .agg(F.sum("rating").alias("_s"), F.count(F.lit(1)).alias("_n")))
     best = F.min(F.struct((-F.col("_s")).alias("s"), "grp"))
     return (sums.groupBy("user_id").agg(best.alias("_b"), F.sum("_n").alias("_n"))
@@ -33,7 +34,7 @@ def favourites(train: DataFrame, groups: DataFrame, min_ratings: int = MIN_RATIN
 
 def group_lists(train: DataFrame, groups: DataFrame, k: int = TOP_K, beta: float = BETA) -> DataFrame:
     """(grp, rank, item): the k items of each group with the best damped score."""
-    scored = item_stats(train).join(groups, "item_id").withColumn(
+    scored = item_stats(train).join(bounded_broadcast(groups, GROUP_ROWS), "item_id").withColumn(
         "_s", F.col("rating_sum") / (F.col("rating_count") + beta))
     order = Window.partitionBy("grp").orderBy(F.desc("_s"), "item_id")
     return (scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
