@@ -27,6 +27,7 @@ from likeness.functions.hashing import NUM_BANDS, NUM_PERM, ROWS_PER_BAND
 from likeness.session import materialize
 
 BLOCK = 2048                   # members of a block; a cell holds two
+MOST_TASKS = 20_000            # tasks that cells are dealt to, each two blocks of members or more
 SLICE = 1 << 22                # slot comparisons held in memory at once
 BANDS = tuple((ROWS_PER_BAND * j, ROWS_PER_BAND) for j in range(NUM_BANDS))
 CELL = ["band", "key", "low", "high"]
@@ -129,7 +130,11 @@ def _reduced(members: DataFrame, groups: DataFrame, spans, make, schema: str) ->
         yield from reducer.rows()
 
     payload = groups.select(F.col("group_id").alias("id"), "sig", "e", "lo")
-    return (members.join(payload, "id").repartition(*CELL).sortWithinPartitions(*CELL)
+    members = materialize(members, "cell-members")
+    # a task's work is its cells' pairs, not its bytes: tasks grow in number with the members
+    tasks = min(MOST_TASKS, members.count() // (2 * BLOCK))
+    deal = (tasks, *CELL) if tasks > int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")) else CELL
+    return (members.join(payload, "id").repartition(*deal).sortWithinPartitions(*CELL)
             .select(*CELL, "side", "id", "sig", "e", "lo").mapInArrow(run, schema))
 
 
