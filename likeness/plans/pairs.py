@@ -61,7 +61,8 @@ def q_pair_common_ratings(spark, sf_dir):
 def _pair_corr(spark, sf_dir):
     docs = common.docs(spark, sf_dir)
     p = checked_pairs(spark, sf_dir)
-    return pairs.correlation(pairs.common_ratings(docs, p), p)
+    # read for the sums and for the items of constant sides: the documents are scanned once
+    return pairs.correlation(materialize(pairs.common_ratings(docs, p), "common_ratings"), p)
 
 
 def q_pair_correlation(spark, sf_dir):
