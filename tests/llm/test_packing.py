@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from string import punctuation
 
 import numpy as np
 import public_tokenizers
@@ -73,3 +74,44 @@ def test_too_large_and_empty():
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), PATH).count() == 0
+
+
+def test_remembered_words_are_bounded_within_a_batch(monkeypatch):
+    """One call used to keep all its words, and long ones counted like short ones."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 500)
+    monkeypatch.setattr(packing, "CACHE_IDS", 3000, raising=False)
+    texts = [" ".join(f"w{'abcdefghij'[i % 10] * (i // 10 + 1)}{'klmnopqrst'[j % 10] * (j // 10 + 1)}"
+                      for j in range(40)) for i in range(60)]
+    texts += ["\x1c" + f"long {i} " * 300 for i in range(40)]
+    whole, words = Tokenizer.from_file(PATH), packing._Words(PATH)
+    most = 0
+    for text, ids in zip(texts, words.ids(texts)):
+        assert list(ids) == whole.encode(text, add_special_tokens=False).ids
+        most = max(most, len(words) + len(words.earlier[0]))
+    assert most <= 2 * (500 + 2 * 40)
+    assert sum(map(len, [*words, *words.earlier[0]])) < 12 * len(texts[-1])
+
+
+def test_words_are_exact_when_most_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 7)
+    marks = [f"{w}{a}{b}" for w in ("", "word", "Ünï", "İx", "x²") for a in punctuation for b in ("", "'", "*", "s")]
+    texts = [t or "" for t in TEXTS] + [" ".join(marks), *marks, "Hello hello HELLO, hello,"] * 2
+    whole, words = Tokenizer.from_file(PATH), packing._Words(PATH)
+    for text, ids in zip(texts, words.ids(texts)):
+        assert list(ids) == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_full_examples_count_in_no_group(spark):
+    sizes = [2048, 512, 512, 2048, 512, 512, 2048, 512, 512, 512, 512]
+    ex = spark.createDataFrame([(1, i, s, s - 1) for i, s in enumerate(sizes)], "k long, i long, tokens long, loss long")
+    out = packing.pack(ex, "k", "tokens", "loss", group=4).collect()
+    assert sorted(r.i for r in out) == list(range(len(sizes)))
+    by_seq = defaultdict(list)
+    for r in out:
+        by_seq[r.sequence_id].append(r.tokens)
+    assert sorted(map(tuple, by_seq.values())) == [(512,) * 4] * 2 + [(2048,)] * 3
+
+
+def test_pieces_are_read_once(spark):
+    plan = packing.pack_documents(docs(spark), PATH)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
