@@ -4,6 +4,7 @@ from string import punctuation
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -76,29 +77,35 @@ def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), PATH).count() == 0
 
 
-def test_remembered_words_are_bounded_within_a_batch(monkeypatch):
-    """One call used to keep all its words, and long ones counted like short ones."""
+def _ids(words, texts, at_once):
+    return [list(ids) for at in range(0, len(texts), at_once) for ids in words.ids(pa.array(texts[at:at + at_once]))]
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    """Long words used to count like short ones, and whole texts were remembered as words."""
     monkeypatch.setattr(packing, "CACHE_WORDS", 500)
     monkeypatch.setattr(packing, "CACHE_IDS", 3000, raising=False)
     texts = [" ".join(f"w{'abcdefghij'[i % 10] * (i // 10 + 1)}{'klmnopqrst'[j % 10] * (j // 10 + 1)}"
                       for j in range(40)) for i in range(60)]
-    texts += ["\x1c" + f"long {i} " * 300 for i in range(40)]
+    texts += ["a1" * 1000 + f"b{i}" for i in range(40)] + ["\x1c" + f"long {i} " * 300 for i in range(40)]
     whole, words = Tokenizer.from_file(PATH), packing._Words(PATH)
-    most = 0
-    for text, ids in zip(texts, words.ids(texts)):
-        assert list(ids) == whole.encode(text, add_special_tokens=False).ids
-        most = max(most, len(words) + len(words.earlier[0]))
-    assert most <= 2 * (500 + 2 * 40)
-    assert sum(map(len, [*words, *words.earlier[0]])) < 12 * len(texts[-1])
+    found = []
+    for at in range(0, len(texts), 2):
+        found += _ids(words, texts[at:at + 2], 2)
+        remembered = [*words, *words.earlier[0]]
+        assert len(remembered) <= 2 * (500 + 2 * 2 * 40)
+        assert sum(map(len, remembered)) < 10 * 2002 + 10_000
+    assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_words_are_exact_when_most_are_forgotten(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 7)
     marks = [f"{w}{a}{b}" for w in ("", "word", "Ünï", "İx", "x²") for a in punctuation for b in ("", "'", "*", "s")]
-    texts = [t or "" for t in TEXTS] + [" ".join(marks), *marks, "Hello hello HELLO, hello,"] * 2
-    whole, words = Tokenizer.from_file(PATH), packing._Words(PATH)
-    for text, ids in zip(texts, words.ids(texts)):
-        assert list(ids) == whole.encode(text, add_special_tokens=False).ids, text
+    texts = [t or "" for t in TEXTS] + [" ".join(marks), *marks, "Hello hello HELLO, hello,", "\u2003a\x85b\xa0"] * 2
+    whole = Tokenizer.from_file(PATH)
+    for at_once in (1, 50):
+        found = _ids(packing._Words(PATH), texts, at_once)
+        assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_full_examples_count_in_no_group(spark):
