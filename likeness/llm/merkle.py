@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from likeness.llm.common import arrow_map, materialize
+from likeness.llm.common import arrow_map, materialize, short_reads
 from likeness.session import bounded_broadcast
 
 FAN, HEIGHT = 8, 4
@@ -123,10 +123,10 @@ def grow(level: int, idx: np.ndarray, digests: list[bytes], height: int):
 NODE = "tree string, level int, idx long, node binary"
 
 
-def build(base: DataFrame) -> DataFrame:
+def build(base: DataFrame, sizes: DataFrame) -> DataFrame:
     """All nodes (tree, level, idx, node) of the trees whose leaves are ``base``
     (tree, idx, node), the leaves included; the last node of a tree is at the
-    lowest level that has one node alone."""
+    lowest level that has one node alone.  ``sizes``: (tree, n), its leaves."""
     def run(block):
         block = block.sort_by("idx")
         tree, level = block.column("tree")[0].as_py(), block.column("level")[0].as_py()
@@ -140,17 +140,17 @@ def build(base: DataFrame) -> DataFrame:
 
     now = base.select("tree", F.lit(0).alias("level"), "idx", "node")
     nodes, level = now, 0
-    while True:
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    while FAN ** level < most:
         # trees of one node are ready: nothing grows above it
-        more = now.groupBy("tree").agg(F.max("idx").alias("last")).where("last > 0").select("tree")
-        open_ = now.join(bounded_broadcast(materialize(more, "open-trees")), "tree", "left_semi")
+        more = sizes.where(F.col("n") > FAN ** level).select("tree")
+        open_ = now.join(bounded_broadcast(more), "tree", "left_semi")
         made = materialize(open_.groupBy("tree", F.expr(f"idx div {FAN ** HEIGHT}").alias("block")).applyInArrow(
             run, NODE), "tree-nodes")
         level += HEIGHT
         now = made.where(F.col("level") == level)
-        if now.isEmpty():
-            return nodes
         nodes = nodes.unionByName(made)
+    return nodes
 
 
 def top_level(n: int) -> int:
@@ -207,13 +207,16 @@ def folded(node: bytes, steps: list[tuple[bytes, bytes]]) -> bytes:
 def manifest(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(leaves with places, nodes, trees) of ``leaves`` output.  ``trees``:
     (tree, n, place among the trees, number of trees)."""
-    own = materialize(placed(materialize(found, "leaves"), "tree", ["doc_id", "leaf", "row"]), "placed-leaves")
-    nodes = build(own.select("tree", "idx", F.col("leaf").alias("node")))
+    with short_reads(found.sparkSession):
+        found = materialize(found, "leaves")
+    own = materialize(placed(found, "tree", ["doc_id", "leaf", "row"]), "placed-leaves")
     sizes = materialize(own.groupBy("tree").agg(F.count(F.lit(1)).alias("n")), "tree-sizes")
+    nodes = build(own.select("tree", "idx", F.col("leaf").alias("node")), sizes)
     last = (nodes.join(sizes.select("tree", _top("n").alias("level")), ["tree", "level"]).where("idx = 0")
             .select("tree", F.col("node")))
     seated = materialize(placed(last.select(F.lit(TOP).alias("name"), "tree", "node"), "name", ["tree"]), "subroots")
-    top = build(seated.select(F.col("name").alias("tree"), "idx", "node"))
+    count = seated.groupBy(F.col("name").alias("tree")).agg(F.count(F.lit(1)).alias("n"))
+    top = build(seated.select(F.col("name").alias("tree"), "idx", "node"), count)
     trees = sizes.join(seated.select("tree", F.col("idx").alias("place")), "tree").withColumn(
         "trees", F.lit(sizes.count()))
     return own, nodes.unionByName(top), materialize(trees, "trees")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from likeness.llm import merkle
-from likeness.llm.common import materialize
+from likeness.llm.common import READ_ROWS, READER_ROWS, materialize
 from tests.llm.helpers import DOCS, docs
 
 H = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -103,3 +103,23 @@ def test_missing_is_the_least_union():
             assert len(set(asked)) == len(asked) and not above & set(asked)
             if size == n:
                 assert not asked
+
+
+def test_reader_holds_few_texts_while_leaves_are_written(spark, monkeypatch):
+    """The default of 4,096 whole texts made an executor's heap grow."""
+    seen, real, rows = {}, merkle.materialize, spark.conf.get(READER_ROWS)
+    monkeypatch.setattr(merkle, "materialize", lambda df, name: (
+        seen.setdefault(name, int(spark.conf.get(READER_ROWS))), real(df, name))[1])
+    merkle.q_merkle(docs(spark))
+    assert seen["leaves"] <= READ_ROWS < int(rows)
+    assert seen["placed-leaves"] == int(spark.conf.get(READER_ROWS)) == int(rows)
+
+
+def test_no_files_but_of_rounds_that_grow(spark, monkeypatch):
+    """Every file written is a process the executor starts; each round used to
+    write its open trees, and a last one wrote nothing at all."""
+    written, real = [], merkle.materialize
+    monkeypatch.setattr(merkle, "HEIGHT", 1)
+    monkeypatch.setattr(merkle, "materialize", lambda df, name: (written.append(name), real(df, name))[1])
+    merkle.manifest(merkle.leaves(docs(spark, [f"text {i}" for i in range(65)], langs=("en",))))
+    assert written.count("tree-nodes") == 3 and "open-trees" not in written      # 66 leaves: 9, 2, 1; one tree
