@@ -178,3 +178,17 @@ def test_an_id_with_several_vectors_has_its_smallest(spark):
     other = [(i, [a + 5.0 for a in v]) for i, v in rows[:50]]
     want = sorted(tuple(r) for r in lattice.near_vectors(frame(spark, rows)).collect())
     assert sorted(tuple(r) for r in lattice.near_vectors(frame(spark, rows + other)).collect()) == want
+
+
+def test_the_chance_of_a_pair_does_not_fall_as_a_table_grows():
+    """At cosine 0.90, from a table of 300 vectors to one of a thousand million."""
+    rng = np.random.default_rng(7)
+    a, r = (rng.normal(size=(2000, 64)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    r -= (r * a).sum(axis=1)[:, None] * a
+    b = 0.9 * a + np.sqrt(1 - 0.9 ** 2) * r / np.linalg.norm(r, axis=1)[:, None]
+    met = {}
+    for setting in {lattice.rung(n) for n in (300, 700, 1_200, 1_800, 10 ** 5, 3 * 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9)}:
+        (own_a, ask_a), (own_b, ask_b) = (lattice.cells(x, *setting) for x in (a, b))
+        met[setting] = ((ask_a == own_b[:, :, None]).any(axis=(1, 2)) | (ask_b == own_a[:, :, None]).any(axis=(1, 2))).mean()
+    assert min(met.values()) >= 0.985, met
