@@ -5,6 +5,7 @@ import numpy as np
 
 from likeness.operators import als
 from likeness.plans import recommend
+from likeness.plans import recommend
 
 
 def _lists(users, items, k):
@@ -97,3 +98,24 @@ def test_marked_lists_are_evaluated_without_being_written_whole(spark, monkeypat
     monkeypatch.setattr(als, "materialize", lambda df, name: written.append(write(df, name)) or written[-1])
     assert sorted((r.split, r.n_users, round(r.ndcg_truth, 12)) for r in als.evaluate(marked, truth, 20).collect()) == want
     assert written[0].count() < 60 * 20 / 4
+
+
+def test_fits_over_many_rows_run_one_after_the_other(spark, monkeypatch, tmp_path):
+    at_once, most, fit = [0], [0], als.fit
+    lock = threading.Lock()
+
+    def counted(*args):
+        with lock:
+            at_once[0] += 1
+            most[0] = max(most[0], at_once[0])
+        try:
+            return fit(*args)
+        finally:
+            with lock:
+                at_once[0] -= 1
+
+    monkeypatch.setattr(als, "fit", counted)
+    monkeypatch.setattr(recommend, "OVERLAP_ROWS", 10)
+    configs = [als.AlsConfig("explicit", rank=r, max_iter=1) for r in (2, 3)]
+    assert recommend.als_grid(spark, "/root/testdata/sf0.001", configs, str(tmp_path / "results")).count() == 2
+    assert most[0] == 1
